@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from . import bpe, media, pii
+from pyspark.sql import functions as F
+
+from . import bpe, chat, decontam, media, pii, urlfilter
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -19,10 +21,96 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_spans(_table(spark, sf_dir, "documents"))
 
 
+def url_entries(pages: DataFrame) -> DataFrame:
+    """Dated list entries by rule from the hosts of the captures: hosts, their domains, and host paths, some removed and listed again."""
+    host = urlfilter.host_of(F.col("url"))
+    n = F.conv(F.substring(F.md5(F.col("host")), 1, 7), 16, 10).cast("long")
+    listed = pages.select(host.alias("host")).where(F.col("host").isNotNull()).distinct().withColumn("n", n)
+    start = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("n") % 500).cast("int"))
+
+    def entry(name: Column, pattern: Column, day: Column, seq: int, action: Column) -> Column:
+        return F.struct(name.alias("list_name"), pattern.alias("pattern"), day.alias("day"), F.lit(seq).alias("seq"), action.alias("action"))
+
+    add, remove, path = F.lit("add"), F.lit("remove"), F.concat("host", F.lit("/de"))
+    kind = F.element_at(F.array(F.lit("ads"), F.lit("malware"), F.lit("phishing")), (F.col("n") % 3 + 1).cast("int"))
+    rows = F.array(
+        entry(kind, F.col("host"), start, 1, add),
+        entry(F.lit("ads"), F.col("host"), F.date_add(start, 60), 2, F.when(F.col("n") % 2 == 0, remove).otherwise(add)),
+        entry(F.lit("tracker"), path, F.date_add(start, -40), 3, add),
+        entry(F.lit("tracker"), path, F.date_add(start, (F.col("n") % 90).cast("int")), 4, remove),
+        entry(F.lit("domains"), F.regexp_replace("host", r"^[^.]+\.", ""), F.date_add(start, 30), 5, F.when(F.col("n") % 5 == 0, add).otherwise(remove)),
+    )
+    return listed.select(F.explode(rows).alias("e")).select("e.*")
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 7919 % 730).cast("int"))
+    return urlfilter.evaluate(pages.withColumn("fetched_at", day), url_entries(pages))
+
+
+OP3_SQL = r"""
+WITH pages_at AS (
+    SELECT DISTINCT page_id, url, DATE '2024-01-01' + (page_id * 7919 % 730)::INTEGER AS fetched_on,
+        nullif(rtrim(regexp_extract(lower(trim(url)), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#\s]+)', 1), '.'), '') AS host,
+        lower(regexp_extract(trim(url), '^[^:/]+://[^/?#]*(/[^/?#]+)', 1)) AS segment
+    FROM pages),
+hosts AS (SELECT DISTINCT host, ('0x' || substr(md5(host), 1, 7))::BIGINT AS n FROM pages_at WHERE host IS NOT NULL),
+started AS (SELECT *, DATE '2024-01-01' + (n % 500)::INTEGER AS start FROM hosts),
+entries(list_name, pattern, day, seq, action) AS (
+    SELECT ['ads', 'malware', 'phishing'][n % 3 + 1], host, start, 1, 'add' FROM started
+    UNION ALL SELECT 'ads', host, start + 60, 2, CASE WHEN n % 2 = 0 THEN 'remove' ELSE 'add' END FROM started
+    UNION ALL SELECT 'tracker', host || '/de', start - 40, 3, 'add' FROM started
+    UNION ALL SELECT 'tracker', host || '/de', start + (n % 90)::INTEGER, 4, 'remove' FROM started
+    UNION ALL SELECT 'domains', regexp_replace(host, '^[^.]+\.', ''), start + 30, 5, CASE WHEN n % 5 = 0 THEN 'add' ELSE 'remove' END FROM started),
+daily AS (SELECT list_name, pattern, day, max(struct_pack(s := seq, off := action = 'remove')).off AS off FROM (SELECT list_name, pattern, day, seq, action FROM entries) GROUP BY ALL),
+changes AS (SELECT * FROM (SELECT *, lag(off, 1, true) OVER (PARTITION BY list_name, pattern ORDER BY day) AS before FROM daily) WHERE off <> before),
+spans AS (SELECT * FROM (SELECT list_name, pattern, day AS valid_from, off, lead(day) OVER (PARTITION BY list_name, pattern ORDER BY day) AS valid_to FROM changes) WHERE NOT off),
+keyed AS (
+    SELECT page_id, url, fetched_on, unnest(list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: array_to_string(string_split(host, '.')[i:], '.'))
+        || CASE WHEN segment = '' THEN []::VARCHAR[] ELSE [host || segment] END) AS pattern
+    FROM pages_at WHERE host IS NOT NULL),
+hits AS (
+    SELECT page_id, url, fetched_on, array_to_string(list_sort(list(DISTINCT list_name)), ',') AS lists, count(*) AS n, max(valid_from) AS since
+    FROM keyed JOIN spans USING (pattern) WHERE fetched_on >= valid_from AND (valid_to IS NULL OR fetched_on < valid_to) GROUP BY ALL)
+SELECT p.page_id, p.host, p.fetched_on::VARCHAR AS fetched_on, coalesce(h.lists, '') AS lists, coalesce(h.n, 0)::BIGINT AS n_active,
+    h.since::VARCHAR AS active_since, h.n IS NOT NULL AS blocked
+FROM pages_at p LEFT JOIN hits h ON p.page_id = h.page_id AND p.url = h.url AND p.fetched_on = h.fetched_on
+"""
+
+
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digest(_table(spark, sf_dir, "documents"))
 
 
+MARKS_IN_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(MARKS_IN_TEXT).alias("text"))
+    return chat.format_digest(talks.unionByName(own))
+
+
+OP6_SQL = r"""
+WITH rows_of AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, i, r, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, r)),
+steps AS (SELECT *, lag(role, 1, '') OVER (PARTITION BY conv_id ORDER BY turn, role, text) || '>' || role AS step FROM rows_of)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(24 + length(role) + length(text) + len(regexp_extract_all(text, '<\\*\|')))::BIGINT AS formatted_chars,
+    bool_and(step IN ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user')) AND last(role ORDER BY turn, role, text) = 'assistant' AS valid
+FROM steps GROUP BY conv_id
+"""
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -31,7 +119,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op3_url_filters": op3_url_filters,
     "op5_media_columns": op5_media_columns,
+    "op6_chat_formatting": op6_chat_formatting,
+    "op9_decontamination": op9_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_url_filters": OP3_SQL, "op6_chat_formatting": OP6_SQL}
