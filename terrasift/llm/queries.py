@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, media, pii, urlfilter
+from . import bpe, chat, decontam, media, pii, substring, urlfilter
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -21,6 +21,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_spans(_table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.mark(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def url_entries(pages: DataFrame) -> DataFrame:
     """Dated list entries by rule from the hosts of the captures: hosts, their domains, and host paths, some removed and listed again."""
     host = urlfilter.host_of(F.col("url"))
@@ -119,6 +123,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_url_filters": op3_url_filters,
     "op5_media_columns": op5_media_columns,
     "op6_chat_formatting": op6_chat_formatting,
