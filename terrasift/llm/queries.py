@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, media, pii, substring, urlfilter
+from . import bpe, chat, decontam, lm, media, pii, substring, urlfilter
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -111,6 +111,10 @@ FROM steps GROUP BY conv_id
 """
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -127,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filters": op3_url_filters,
     "op5_media_columns": op5_media_columns,
     "op6_chat_formatting": op6_chat_formatting,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_decontamination": op9_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
 }
