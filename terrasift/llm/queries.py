@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, lm, media, pii, substring, urlfilter
+from . import bpe, chat, decontam, jaccard, lm, media, pii, substring, urlfilter
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -83,6 +83,10 @@ FROM pages_at p LEFT JOIN hits h ON p.page_id = h.page_id AND p.url = h.url AND
 """
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(_table(spark, sf_dir, "documents"))
+
+
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digest(_table(spark, sf_dir, "documents"))
 
@@ -129,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_url_filters": op3_url_filters,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_media_columns": op5_media_columns,
     "op6_chat_formatting": op6_chat_formatting,
     "op8_lm_scoring": op8_lm_scoring,
