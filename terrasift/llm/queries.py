@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, jaccard, lm, media, pii, substring, urlfilter
+from . import bpe, chat, decontam, jaccard, lm, media, pii, substring, toxicity, urlfilter
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -115,6 +115,11 @@ FROM steps GROUP BY conv_id
 """
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(_table(spark, sf_dir, "documents"))
 
@@ -136,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_media_columns": op5_media_columns,
     "op6_chat_formatting": op6_chat_formatting,
+    "op7_toxicity": op7_toxicity,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_decontamination": op9_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
