@@ -1,11 +1,12 @@
-"""Shared helpers of the training-data operators: sizing, checkpoints, Arrow plumbing."""
+"""Shared helpers of the training-data operators: sizing, bounded broadcasts, Arrow plumbing."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Stands for "size unknown" in Catalyst's statistics (any larger figure is a default, not a measure).
 _UNKNOWN_BYTES = 1 << 50
@@ -25,23 +26,13 @@ def pieces(df: DataFrame, target_bytes: int) -> int:
     return max(1, -(-n // target_bytes))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through the folder named by spark.checkpoint.dir, which all executors share."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(checkpoint_dir(spark))
-    return df.checkpoint(eager=True)
+#: Most rows of a key table that is broadcast; beyond it the same join is a shuffle.
+BROADCAST_ROWS = 500_000
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a local one only where the setting is absent (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found
-    import tempfile
-
-    return tempfile.mkdtemp(prefix="terrasift-ckpt-")
+def bounded(df: DataFrame) -> DataFrame:
+    """A narrow table marked for broadcast where it has few rows by count, as it is otherwise. Its input should be at rest."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[list[list]], Iterable[list]]]) -> DataFrame:

@@ -15,12 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from ..session import checkpointed
+from .common import bounded
 
 TILE = 7
 MIN_RUN = 2 * TILE - 1
-#: Most item windows, and most candidate documents, that are broadcast; beyond it the same join is a shuffle.
-BROADCAST_ROWS = 500_000
 # Units that are placeholders after a number.
 UNITS = ("mm", "cm", "m", "km", "mi", "ft", "inch", "inches", "mg", "g", "kg", "lb", "oz", "ml", "l", "s", "sec", "min", "h", "hr", "hours", "minutes", "seconds", "days", "eur", "usd", "gbp", "percent", "mph", "kmh", "kw", "kwh", "hz")
 NAME = "\x01"
@@ -53,11 +52,6 @@ def _windows(t: Column) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(t, i, TILE))))
 
 
-def _bounded(df: DataFrame, on: str) -> DataFrame:
-    """The table, to be broadcast where it has few rows by count."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, run_words (longest run), item_words, n_slots (placeholders in the run), n_refilled (filled otherwise than in the item)."""
     items = (
@@ -72,12 +66,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     tiles = source.select("doc_id", words(F.col("text")).alias("ws")).select("doc_id", template(F.col("ws")).alias("t"))
     tiles = tiles.select("doc_id", F.posexplode(_tiles(F.col("t"))).alias("no", "tile"))
     # Where the item would start in the document, counted in template words.
-    found = tiles.join(_bounded(windows, "tile"), "tile").select("doc_id", "item_id", (F.col("no") * TILE - F.col("at")).alias("shift"))
+    found = tiles.join(bounded(windows), "tile").select("doc_id", "item_id", (F.col("no") * TILE - F.col("at")).alias("shift"))
     candidates = checkpointed(found.distinct())
 
     # Only documents with a candidate are split again.
     ids = candidates.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    held = source.join(_bounded(ids, "doc_id"), "doc_id", "left_semi").select("doc_id", words(F.col("text")).alias("ws")).distinct()
+    held = source.join(bounded(ids), "doc_id", "left_semi").select("doc_id", words(F.col("text")).alias("ws")).distinct()
     ws, shift, item_ws = F.col("ws"), F.col("shift"), F.col("item_ws")
     first = F.greatest(-shift, F.lit(0))
     length = F.least(F.size(item_ws) - first, F.size(ws) - (shift + first))
@@ -108,4 +102,4 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The documents without a match, with all their columns; rows without an id or text stay."""
     hit = checkpointed(matches(docs, benchmark, id_col).select(F.col("doc_id").alias("_hit")).distinct())
-    return docs.join(_bounded(hit, "_hit"), docs[id_col] == F.col("_hit"), "left_anti")
+    return docs.join(bounded(hit), docs[id_col] == F.col("_hit"), "left_anti")

@@ -15,18 +15,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import REPLIES, Words, answered, blocked, expand, first, mix, parts, replies, rest, shard_bits, squeeze
-from .common import checkpointed
-from .components import components
+from ..operators.graph import components
+from ..session import checkpointed, release
+from .blocks import BLOCK_BYTES, REPLIES, Words, answered, blocked, expand, first, mix, parts, replies, rest, shard_bits, squeeze
+from .common import bounded, pieces
 
 SHINGLE = 5
 #: Similarity in percent.
 PERCENT = 80
 SKETCH_BYTES, SET_BYTES = 4, 6
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
+#: log2 of the parts of the hash range in which core sizes are compared.
+PROFILE_BITS = 6
 MESSAGES = "shard int, block int, keys binary, sets binary, ids binary"
 _NO_ID = np.iinfo(np.int64).max
 
@@ -113,12 +116,12 @@ def _answer(table: pa.Table) -> pa.Table:
     return replies(first(table, "shard"), out)
 
 
-_ROWS = "doc_id long, n long, node long, least_id long, prefix array<long>, shingles binary"
+_ROWS = "doc_id long, n long, node long, least_id long, core long, profile array<int>, prefix array<long>, shingles binary"
 
 
 def _rows(left: pa.Table, right: pa.Table, size: int, percent: int, bits: int) -> pa.Table:
     """One row per document; the row that stands for a set of the corpus carries its leading columns and its shingles."""
-    columns: list[list] = [[] for _ in range(6)]
+    columns: list[list] = [[] for _ in range(8)]
     if left.num_rows:
         block, number, got = _Block(left, size), first(left, "block"), answered(right)
         shingles, _ = block.columns()
@@ -134,18 +137,20 @@ def _rows(left: pa.Table, right: pa.Table, size: int, percent: int, bits: int) -
         stands = dict(zip(block.row[owner == number].tolist(), np.flatnonzero(owner == number).tolist(), strict=True))
         at = np.searchsorted(block.known, block.keys)
         for i, (doc_id, n, key) in enumerate(zip(block.ids, block.sizes.tolist(), block.keys.tolist(), strict=True)):
-            prefix, data = None, None
+            core, profile, prefix, data = None, None, None, None
             if n and i in stands:
                 own = block.sets[i]
                 f = frequency[np.searchsorted(shingles, own)]
                 lead = np.lexsort((own, f))[: n - -(-percent * n // 100) + 1]
                 lead = lead[f[lead] > 1]
+                core = int((f > 1).sum())
+                profile = np.bincount((own[f > 1] >> np.uint64(64 - PROFILE_BITS)).astype(np.int64), minlength=1 << PROFILE_BITS).astype(np.int32)
                 if len(lead):
                     prefix, data = own[lead].view(np.int64), squeeze(own >> np.uint64(64 - 8 * SET_BYTES), SET_BYTES)
             low = int(least[at[i]]) if n else None
-            for c, v in zip(columns, (doc_id, n, int(np.uint64(key).view(np.int64)) if n else None, doc_id if not n else None if low == _NO_ID else low, prefix, data), strict=True):
+            for c, v in zip(columns, (doc_id, n, int(np.uint64(key).view(np.int64)) if n else None, doc_id if not n else None if low == _NO_ID else low, core, profile if data else None, prefix, data), strict=True):
                 c.append(v)
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary())
     return pa.table({name.split()[0]: pa.array(c, t) for name, c, t in zip(_ROWS.split(", "), columns, types, strict=True)})
 
 
@@ -165,40 +170,64 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "sa", "nb", "sb").mapInArrow(count, "a long, b long")
 
 
-def _near(a: str, b: str, percent: int) -> F.Column:
-    return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
+def _near(n: str, m: str, core: Column, percent: int) -> Column:
+    """Whether sizes n and m can be of a pair whose overlap is at most ``core``."""
+    return percent * (F.col(n) + F.col(m)) <= (100 + percent) * core
+
+
+def _overlap_bound(a: str, b: str) -> Column:
+    """Most that two cores can share: the smaller count in each part of the hash range, summed."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
 
 
 def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     bits = shard_bits(docs)
+    # Everything below is smaller than the documents, so their number of blocks keeps its pieces small too.
+    few = max(8, pieces(docs, BLOCK_BYTES))
+    rows = checkpointed(_documents(docs, size, percent, id_col, text_col, bits))
+    release(docs.sparkSession)
+    return _components(rows, percent, few)
+
+
+def _documents(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str, bits: int) -> DataFrame:
     blocks = blocked(docs, id_col, text_col).groupBy("block")
     answers = blocks.applyInArrow(lambda t: _ask(t, size, bits), MESSAGES).groupBy("shard").applyInArrow(_answer, REPLIES)
-    rows = checkpointed(blocks.cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: _rows(a, b, size, percent, bits), _ROWS))
+    return blocks.cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: _rows(a, b, size, percent, bits), _ROWS)
+
+
+def _components(rows: DataFrame, percent: int, few: int) -> DataFrame:
     sets = rows.where("shingles IS NOT NULL").select("node", "n", "shingles")
 
-    # Columns that several rows hold, one of each kind of columns with the same rows.
-    entries = rows.where("prefix IS NOT NULL").select("node", "n", F.explode("prefix").alias("key"))
-    kinds = entries.groupBy("key").agg(F.count("*").alias("rows"), F.expr("bit_xor(xxhash64(node))").alias("x"), F.expr("bit_xor(xxhash64(node, 1))").alias("y")).where("rows > 1")
-    kept = kinds.groupBy("rows", "x", "y").agg(F.min("key").alias("key")).select("key")
-    entries = checkpointed(entries.join(kept, "key", "left_semi"))
+    # Columns that several rows hold, one of each kind of columns with the same rows. A shingle that one row alone holds is in no overlap, so
+    # the rest of the row (its core) bounds every overlap; entries of rows that even the smallest row of the column is too large for go.
+    entries = rows.where("prefix IS NOT NULL").select("node", "n", "core", F.explode("prefix").alias("key"))
+    kinds = entries.groupBy("key").agg(F.count("*").alias("rows"), F.min("n").alias("m"), F.expr("bit_xor(xxhash64(node))").alias("x"), F.expr("bit_xor(xxhash64(node, 1))").alias("y")).where("rows > 1")
+    kept = kinds.groupBy("rows", "x", "y").agg(F.min_by(F.struct("key", "m"), "key").alias("k")).select("k.*")
+    profiles = rows.where("shingles IS NOT NULL").select("node", "profile")
+    entries = checkpointed(entries.join(kept, "key").where(_near("n", "m", F.col("core"), percent)).drop("m", "core").join(profiles, "node"), few)
 
     links = None
+    core = F.aggregate("profile", F.lit(0), lambda x, y: x + y)
     for step in range(PIVOT_ROUNDS + 1):
-        now = entries.withColumn("component", F.col("node")) if links is None else _labelled(entries, components(links))
-        spread = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct(F.xxhash64("node", F.lit(step)).alias("h"), "node", "n", "component")).alias("p")).where("low <> high")
+        now = entries.withColumn("component", F.col("node")) if links is None else _labelled(entries, components(links, few))
+        # First the row with the least of its own meets the others, then rows by chance.
+        order = ((F.col("n") - core) / F.col("n")) if step == 0 else F.xxhash64("node", F.lit(step)).cast("double")
+        pivot = F.min(F.struct(order.alias("o"), "node", "n", "profile", "component")).alias("p")
+        spread = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), pivot).where("low <> high")
         if step < PIVOT_ROUNDS:
-            met = now.join(spread.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.component").alias("other")), "key")
-            met = met.where((F.col("other") != F.col("component")) & _near("n", "pivot_n", percent)).groupBy("node", "pivot").agg(F.count("*").alias("shared"))
+            met = now.join(spread.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"), F.col("p.profile").alias("pivot_profile"), F.col("p.component").alias("other")), "key")
+            met = met.where((F.col("other") != F.col("component")) & _near("n", "m", _overlap_bound("profile", "pivot_profile"), percent)).groupBy("node", "pivot").agg(F.count("*").alias("shared"))
             pairs = met.groupBy("node").agg(F.max(F.struct("shared", "pivot")).alias("best")).select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
         else:
-            left = now.join(spread.select("key"), "key")
-            right = left.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-            pairs = left.join(right, "key").where((F.col("component") < F.col("cb")) & _near("n", "nb", percent)).select(F.col("node").alias("a"), "b").distinct()
+            left = now.join(spread.select("key"), "key", "left_semi")
+            right = left.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("profile").alias("other_profile"), F.col("component").alias("other"))
+            pairs = left.join(right, "key").where((F.col("component") < F.col("other")) & _near("n", "m", _overlap_bound("profile", "other_profile"), percent)).select(F.col("node").alias("a"), "b").distinct()
         found = _linked(pairs, sets, percent)
-        links = checkpointed(found if links is None else links.unionByName(found))
+        links = checkpointed(found if links is None else links.unionByName(found), few)
+        release(rows.sparkSession)
 
-    names = checkpointed(components(links))
+    names = checkpointed(components(links, few), few)
     known = rows.where("node IS NOT NULL").select("node", "least_id").distinct()
     least = names.join(known, "node").groupBy("component").agg(F.min("least_id").alias("component_id"))
     labels = names.join(least, "component").select("node", "component_id")
@@ -206,10 +235,18 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: s
 
 
 def _labelled(entries: DataFrame, names: DataFrame) -> DataFrame:
-    return entries.join(names, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
+    return entries.join(names, "node", "left").select("key", "node", "n", "profile", F.coalesce("component", "node").alias("component"))
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with one of each component: the row with its smallest id. Rows without words or id stay."""
-    linked = checkpointed(link(docs, id_col=id_col, text_col=text_col).where("n_shingles > 0 AND doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct())
-    return docs.join(linked, docs[id_col] == F.col("_copy"), "left_anti").dropDuplicates([id_col, text_col])
+    """The documents with one of each component: the row with its smallest id, once. Rows without words or id stay."""
+    linked = link(docs, id_col=id_col, text_col=text_col).where("n_shingles > 0 AND doc_id IS NOT NULL")
+    # Ids with a row to drop, or with several rows of one component.
+    ids = linked.groupBy(F.col("doc_id").alias("_id"), "component_id").agg(F.count("*").alias("rows"))
+    ids = checkpointed(ids.select("_id", (F.col("_id") != F.col("component_id")).alias("_copy"), (F.col("rows") > 1).alias("_again")).where("_copy OR _again"))
+    copies, again = ids.where("_copy").select("_id").distinct(), ids.where("_again").select("_id").distinct()
+    kept = docs.join(bounded(copies), docs[id_col] == F.col("_id"), "left_anti")
+    if again.isEmpty():
+        return kept
+    once = kept.join(bounded(again), kept[id_col] == F.col("_id"), "left_anti")
+    return once.unionByName(kept.join(bounded(again), kept[id_col] == F.col("_id"), "left_semi").dropDuplicates([id_col, text_col]))
