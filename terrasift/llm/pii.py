@@ -16,6 +16,7 @@ import bisect
 import hashlib
 import re
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -206,8 +207,6 @@ def mask(text: str) -> str:
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The same rows and columns with personal data masked in the text; null stays null."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def masked(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: mask(t) if t else t)
