@@ -82,7 +82,7 @@ def unproject(x: np.ndarray, y: np.ndarray, p: Projection) -> tuple[np.ndarray,
     xi, eta = xi - (back[:, None] * np.sin(j * xi) * np.cosh(j * eta)).sum(0), eta - (back[:, None] * np.cos(j * xi) * np.sinh(j * eta)).sum(0)
     t = np.sin(xi) / np.hypot(np.sinh(eta), np.cos(xi))
     lat = np.arctan(t)
-    for _ in range(5):
+    for _ in range(8):
         lat = np.arctan(np.sinh(np.arcsinh(t) + e * np.arctanh(e * np.sin(lat))))
     return p.lon0 + np.degrees(np.arctan2(np.sinh(eta), np.cos(xi))), np.degrees(lat)
 

@@ -35,9 +35,8 @@ def _side(df: DataFrame, prefix: str, geom: str, grow: float, cell: float) -> Da
     named = named.withColumn(f"{prefix}b", b)
     low = [F.col(f"{prefix}b.{c}") - grow for c in ("xmin", "ymin")]
     high = [F.col(f"{prefix}b.{c}") + grow for c in ("xmax", "ymax")]
-    return named.withColumn(f"{prefix}box", F.struct(low[0].alias("x0"), low[1].alias("y0"), high[0].alias("x1"), high[1].alias("y1"))).drop(f"{prefix}b").withColumn(
-        f"{prefix}t", F.explode(tiles(*low, *high, cell))
-    )
+    named = named.withColumns({f"{prefix}box": F.struct(*[c.alias(n) for c, n in zip(low + high, ("x0", "y0", "x1", "y1"), strict=True)]), f"{prefix}t": tiles(*low, *high, cell)})
+    return named.drop(f"{prefix}b").withColumn(f"{prefix}t", F.explode(f"{prefix}t"))
 
 
 def pairs(left: DataFrame, right: DataFrame, predicate: str = "intersects", distance: float = 0.0, geom: str = "geom", cell: float = CELL) -> DataFrame:

@@ -289,7 +289,7 @@ def slope_mask(spark: SparkSession, d: str) -> DataFrame:
 LOW = f"low AS (SELECT row, col, CASE WHEN value IS NOT NULL THEN (value BETWEEN 0 AND 60)::INTEGER END AS value FROM ({fx.SQL_RASTER}))"
 ZONES = f"""{with_layers("titles")}, {LOW},
 zoned AS (SELECT id, value FROM (SELECT id, c, unnest(range(r0, r1 + 1)) AS r FROM (SELECT id, r0, r1, unnest(range(c0, c1 + 1)) AS c FROM (
-    SELECT id, (x0 + 49) // 100 AS c0, (x1 - 51) // 100 AS c1, (50000 - y1 + 49) // 100 AS r0, (50000 - y0 - 51) // 100 AS r1 FROM titles)))
+    SELECT id, (x0 + 50) // 100 AS c0, (x1 - 51) // 100 AS c1, (50000 - y1 + 50) // 100 AS r0, (50000 - y0 - 51) // 100 AS r1 FROM titles)))
     JOIN low ON low.row = r AND low.col = c),
 zonal AS (SELECT t.id, (x1 - x0) * (y1 - y0) AS bog_m2, count(z.value) AS cells, coalesce(sum(z.value), 0)::BIGINT AS low_cells FROM titles t LEFT JOIN zoned z USING (id) GROUP BY ALL)"""
 
@@ -498,9 +498,10 @@ def duplicate_key_check(spark: SparkSession, d: str) -> DataFrame:
     return expect.duplicates(fx.table(spark, d, "lineitem"), ["l_orderkey", "l_partkey"])
 
 
-@query("SELECT l_orderkey, min(l_linenumber) AS first_line, arg_min(l_partkey, l_linenumber) AS first_part FROM lineitem GROUP BY l_orderkey")
+@query("SELECT l_orderkey, l_linenumber AS first_line, l_partkey AS first_part FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) = 1")
 def dedupe_keep_first(spark: SparkSession, d: str) -> DataFrame:
-    return fx.table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min("l_linenumber").alias("first_line"), F.min_by("l_partkey", "l_linenumber").alias("first_part"))
+    first = F.min(F.struct("l_linenumber", "l_partkey")).alias("f")
+    return fx.table(spark, d, "lineitem").groupBy("l_orderkey").agg(first).select("l_orderkey", F.col("f.l_linenumber").alias("first_line"), F.col("f.l_partkey").alias("first_part"))
 
 
 @query("SELECT event_id, coalesce(CASE WHEN event_type <> 'view' THEN event_type END, '') AS label, event_type || ':' || coalesce(CASE WHEN user_id % 3 > 0 THEN user_id END, event_id)::VARCHAR AS key_text FROM events")
@@ -516,12 +517,12 @@ def percent_clamp(spark: SparkSession, d: str) -> DataFrame:
     return fx.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(p, 4).alias("pct"))
 
 
-@query("SELECT o_orderkey, printf('%dh %02dm %02ds', o_orderkey // 3600, o_orderkey // 60 % 60, o_orderkey % 60) AS duration, lpad(o_custkey::VARCHAR, 7, '0') AS padded, lower(trim(o_orderpriority)) AS priority, starts_with(o_orderpriority, '1') AS urgent, printf('%.2f', o_orderkey / 8) AS two_places, (o_orderkey // 7) AS quotient, (o_orderkey % 7) AS remainder FROM orders")
+@query("SELECT o_orderkey, printf('%dh %02dm %02ds', o_orderkey // 3600, o_orderkey // 60 % 60, o_orderkey % 60) AS duration, lpad(o_custkey::VARCHAR, 7, '0') AS padded, lower(trim(o_orderpriority)) AS priority, starts_with(o_orderpriority, '1') AS urgent, printf('%.2f', o_orderkey / 7) AS two_places, (o_orderkey // 7) AS quotient, (o_orderkey % 7) AS remainder FROM orders")
 def format_cases(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
     return fx.table(spark, d, "orders").select(
         "o_orderkey", sc.duration_text(k).alias("duration"), F.lpad(F.col("o_custkey").cast("string"), 7, "0").alias("padded"), F.lower(F.trim("o_orderpriority")).alias("priority"),
-        F.startswith("o_orderpriority", F.lit("1")).alias("urgent"), F.format_string("%.2f", k / 8).alias("two_places"), F.floor(k / 7).alias("quotient"), (k % 7).alias("remainder"),
+        F.startswith("o_orderpriority", F.lit("1")).alias("urgent"), F.format_string("%.2f", k / 7).alias("two_places"), F.floor(k / 7).alias("quotient"), (k % 7).alias("remainder"),
     )
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import sqlite3
 import struct
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +37,16 @@ def publish_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path).select("id", F.round(geo.st_area("geom")).cast("long").alias("m2"))
 
 
+def _shared_files(spark: SparkSession, name: str) -> str:
+    """A new folder for files that executors open themselves: on a file system that all machines mount."""
+    path = _folder(spark, name)
+    if "://" in path and not path.startswith("file://"):
+        raise ValueError("files for the readers need a mounted shared folder in spark.checkpoint.dir")
+    path = path.removeprefix("file://")
+    os.makedirs(path)
+    return path
+
+
 def make_shapefile(stem: str, rows: list[tuple[int, str, list[list[tuple[float, float]]]]]) -> str:
     """A small polygon shapefile: (id, name, rings) each; shells clockwise."""
     shapes, at = b"", 50
@@ -68,11 +77,11 @@ SQUARES = [(1, "plain", [[(0.0, 0.0), (0.0, 10.0), (10.0, 10.0), (10.0, 0.0), (0
 
 
 def shapefile_scan(spark: SparkSession, d: str) -> DataFrame:
-    """A zipped shapefile through the reader. The file is small and local, as the reader's files are."""
+    """A zipped shapefile through the reader. The file is small; executors open it themselves."""
     import zipfile
 
     readers.register(spark)
-    folder = tempfile.mkdtemp(prefix="terrasift-shp-")
+    folder = _shared_files(spark, "shapefile")
     make_shapefile(f"{folder}/squares", SQUARES)
     with zipfile.ZipFile(f"{folder}/squares.zip", "w") as z:
         for s in (".shp", ".dbf"):
@@ -93,7 +102,7 @@ def make_geopackage(path: str, layer: str, rows: list[tuple[int, str, bytes]], s
 def gpkg_scan(spark: SparkSession, d: str) -> DataFrame:
     """A GeoPackage layer in several partitions through the reader."""
     readers.register(spark)
-    folder = tempfile.mkdtemp(prefix="terrasift-gpkg-")
+    folder = _shared_files(spark, "geopackage")
     small = [(i, name, readers._wkb_polygon(rings)) for i, name, rings in SQUARES]
     path = make_geopackage(os.path.join(folder, "squares.gpkg"), "squares", small)
     rows = spark.read.format("geopackage").option("layer", "squares").option("srs", "2157").option("rows", "1").load(path)

@@ -8,7 +8,6 @@ import os
 import re
 import sqlite3
 import struct
-import tempfile
 import zipfile
 from collections.abc import Iterator
 
@@ -306,6 +305,3 @@ def append_log(spark: SparkSession, path: str, **fields) -> None:
     """One row to a run log."""
     spark.createDataFrame([fields]).withColumn("finished_utc", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")).write.mode("append").json(path)
 
-
-def scratch(name: str) -> str:
-    return tempfile.mkdtemp(prefix=f"terrasift-{name}-")
