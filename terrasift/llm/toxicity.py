@@ -33,12 +33,12 @@ DISCOUNT = 0.75
 STRENGTH = 100.0
 #: Longest prefix with both its end marks.
 PREFIX = 11
-LEAST = 4
+LEAST = 8
 FOLDS = 4
 ALPHABET = 60
 #: Excess over a text's mean from which an expression is strong.
 STRONG = 1.5
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 150_000
 _OUTER = ".,;:!?|\"'()[]{}<>%&$#*-_/\\`~=+@^"
 _FEATURES = 6
 
@@ -113,18 +113,22 @@ def _chunked(rows: list, size: int) -> Iterator[list]:
         yield rows[i : i + size]
 
 
-def _kept(counts: dict[str, np.ndarray], kinds: dict[str, tuple[int, int, int]]) -> dict[str, float]:
-    """Ratio along each prefix; counts are (ordinary, toxic)."""
-    out: dict[str, float] = {"^": 0.0}
-    for prefix in sorted(counts, key=len):
-        h = prefix[:-1]
-        if h not in out or h not in counts:
-            continue
-        c, total, (k0, k1, both) = counts[prefix], counts[h], kinds[h]
-        n = total.sum()
-        shared = (max(c.sum() - DISCOUNT, 0) + DISCOUNT * both / ALPHABET) / n if n else 1 / ALPHABET
-        p = [(max(c[i] - DISCOUNT, 0) + (DISCOUNT * k + STRENGTH) * shared) / (total[i] + STRENGTH) for i, k in ((0, k0), (1, k1))]
-        out[prefix] = out[h] + math.log(p[1] / p[0])
+def _kept(prefixes: list[str], counts: np.ndarray, kinds: np.ndarray) -> dict[str, float]:
+    """Ratio along each prefix; counts are (ordinary, toxic), kinds (followers seen in ordinary, in toxic, in both together)."""
+    row = {p: i for i, p in enumerate(prefixes)}
+    step = np.full(len(prefixes), np.nan)
+    parent = np.array([row.get(p[:-1], -1) for p in prefixes])
+    inner = np.flatnonzero(parent >= 0)
+    h = parent[inner]
+    c, total, k = counts[inner], counts[h], kinds[h]
+    n = np.maximum(total.sum(axis=1), 1)
+    shared = np.where(total.sum(axis=1) > 0, (np.maximum(c.sum(axis=1) - DISCOUNT, 0) + DISCOUNT * k[:, 2] / ALPHABET) / n, 1 / ALPHABET)
+    p = (np.maximum(c - DISCOUNT, 0) + (DISCOUNT * k[:, :2] + STRENGTH) * shared[:, None]) / (total + STRENGTH)
+    step[inner] = np.log(p[:, 1] / p[:, 0])
+    out = {"^": 0.0}
+    for i in sorted(inner.tolist(), key=lambda i: len(prefixes[i])):
+        if (above := out.get(prefixes[i][:-1])) is not None:
+            out[prefixes[i]] = above + float(step[i])
     return out
 
 
@@ -167,14 +171,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     total = sum((F.col(f"c{i}") for i in range(1, 2 * FOLDS)), F.col("c0"))
     ordinary, toxic = (sum((F.col(f"c{i}") for i in range(t + 2, 2 * FOLDS, 2)), F.col(f"c{t}")) for t in (0, 1))
     parents = every.where("length(prefix) > 1").groupBy(F.expr("left(prefix, length(prefix) - 1)").alias("prefix")).agg(F.count_if(ordinary > 0).alias("k0"), F.count_if(toxic > 0).alias("k1"), F.count("*").alias("k"))
-    rows = every.where(total >= LEAST).join(parents, "prefix", "left").na.fill(0).collect()
-    cells = {r.prefix: np.array([r[f"c{i}"] for i in range(2 * FOLDS)]).reshape(FOLDS, 2) for r in rows}
-    kinds = {r.prefix: (r.k0, r.k1, r.k) for r in rows}
-    sums = {p: c.sum(axis=0) for p, c in cells.items()}
-    if not rows or not sums["^"].all():
+    table = every.where(total >= LEAST).join(parents, "prefix", "left").na.fill(0).toArrow()
+    prefixes = table.column("prefix").to_pylist()
+    cells = np.stack([table.column(f"c{i}").to_numpy() for i in range(2 * FOLDS)], axis=1).reshape(-1, FOLDS, 2) if prefixes else np.zeros((0, FOLDS, 2), np.int64)
+    kinds = np.stack([table.column(k).to_numpy() for k in ("k0", "k1", "k")], axis=1) if prefixes else np.zeros((0, 3), np.int64)
+    del table
+    sums = cells.sum(axis=1)
+    if not prefixes or not sums[prefixes.index("^")].all():
         share = ids.agg(F.avg("toxic")).first()[0] or 0.0
         return Model({}, [0.0] * _FEATURES + [math.log(max(share, 1e-9) / max(1 - share, 1e-9)) if share else -30.0])
-    without = [_kept({p: sums[p] - c[f] for p, c in cells.items()}, kinds) for f in range(FOLDS)]
+    without = [_kept(prefixes, sums - cells[:, f], kinds) for f in range(FOLDS)]
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratios = [Ratios(k) for k in without]
@@ -182,8 +188,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             folds, marks, texts = (batch.column(c).to_pylist() for c in ("fold", "toxic", "text"))
             yield pa.RecordBatch.from_arrays([pa.array([ratios[f].features(t) for f, t in zip(folds, texts, strict=True)], pa.list_(pa.float64())), pa.array(marks, pa.int32())], names=["x", "y"])
 
-    fit = sample.mapInArrow(features, "x array<double>, y int").collect()
-    return Model(_kept(sums, kinds), _fit(np.array([r.x for r in fit]), np.array([r.y for r in fit], float)).tolist())
+    fit = sample.mapInArrow(features, "x array<double>, y int").toArrow()
+    return Model(_kept(prefixes, sums, kinds), _fit(np.array(fit.column("x").to_pylist()), fit.column("y").to_numpy().astype(float)).tolist())
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
