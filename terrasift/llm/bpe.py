@@ -13,38 +13,45 @@ would take quadratic time; the pair order is the same.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import heapq
+import re
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LONG_WORD = 256
-#: Entries of a worker's chunk and word caches; reaching it empties them and changes no result.
+#: Entries of a generation of a worker's cache of words and chunks; beyond it the cache becomes the old generation, and the one before goes.
 CACHE_ENTRIES = 300_000
 #: Characters encoded at once.
 SLICE_CHARS = 4_000_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 SCHEMA_IDS = "doc_id long, ids array<int>, decoded binary"
 
+#: Patterns under which letters after at most one space are a word by themselves.
+LETTER_PATTERNS = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",)
+_RUNS_ON = re.compile(r"\s\x20|\s\Z")
+
+# A row is one integer: word number, position and token, in this order from the top, so rows sort by word and position.
+_POS_BITS = 9
 _ROUNDS = """
-WITH RECURSIVE rounds(step, word, pos, tok) AS (
-    SELECT 0, word, pos, tok FROM start
+WITH RECURSIVE rounds(step, x) AS (
+    SELECT 0::UTINYINT, x FROM start
     UNION ALL
-    (WITH pair AS (
-        SELECT step, word, pos, tok, lead(tok) OVER w AS next_tok, lead(pos) OVER w AS next_pos
-        FROM rounds WINDOW w AS (PARTITION BY word ORDER BY pos)),
+    (WITH pair AS (SELECT step, x, lead(x) OVER (ORDER BY x) AS y FROM rounds),
     best AS (
-        SELECT word, min((merged::BIGINT << 32) | (pos::BIGINT << 16) | next_pos) AS k
-        FROM pair JOIN merges ON tok = a AND next_tok = b GROUP BY word)
-    SELECT step + 1, pair.word, pos, CASE WHEN pos = (k >> 16) & 65535 THEN (k >> 32)::INTEGER ELSE tok END
-    FROM pair JOIN best ON pair.word = best.word WHERE pos <> k & 65535)
+        SELECT x >> {top} AS word, min((merged << 18) | (((x >> {t}) & 511) << 9) | ((y >> {t}) & 511)) AS k
+        FROM pair JOIN merges ON ab = (((x & {tok}) << {t}) | (y & {tok})) WHERE x >> {top} = y >> {top} GROUP BY 1)
+    SELECT (step + 1)::UTINYINT, CASE WHEN (x >> {t}) & 511 = (k >> 9) & 511 THEN ((x >> {t}) << {t}) | (k >> 18) ELSE x END
+    FROM pair JOIN best ON x >> {top} = word WHERE (x >> {t}) & 511 <> k & 511)
 ),
-last AS (SELECT word, max(step) AS step FROM rounds GROUP BY word)
-SELECT rounds.word, string_agg(rounds.tok::VARCHAR, ',' ORDER BY pos), count(*), unhex(string_agg(vocab.hex, '' ORDER BY pos))
-FROM rounds JOIN last ON rounds.word = last.word AND rounds.step = last.step JOIN vocab ON vocab.tok = rounds.tok
-GROUP BY rounds.word ORDER BY rounds.word
+last AS (SELECT x >> {top} AS word, max(step) AS step FROM rounds WHERE (x >> {t}) & 511 = 0 GROUP BY 1),
+done AS (
+    SELECT last.word, id, chars FROM rounds JOIN last ON rounds.x >> {top} = last.word AND rounds.step = last.step JOIN vocab ON vocab.tok = rounds.x & {tok}
+    ORDER BY rounds.x)
+SELECT word, string_agg(id, ','), count(*), string_agg(chars, '') FROM done GROUP BY word
 """
 
 
@@ -61,18 +68,21 @@ class Coder:
         with open(rank_file, "rb") as lines:
             self.ranks = {base64.b64decode(word): int(rank) for word, rank in (x.split() for x in lines if x.strip())}
         self.words = regex.compile(pattern).findall
+        self.letters_alone = pattern in LETTER_PATTERNS
         self.tokens = {rank: word for word, rank in self.ranks.items()}
         triples = [(self.ranks[w[:i]], self.ranks[w[i:]], r) for w, r in self.ranks.items() for i in range(1, len(w)) if w[:i] in self.ranks and w[i:] in self.ranks]
-        merges = pa.table({k: pa.array([t[i] for t in triples], pa.int32()) for i, k in enumerate(("a", "b", "merged"))})
-        vocab = pa.table({"tok": pa.array(list(self.tokens), pa.int32()), "hex": [w.hex() for w in self.tokens.values()]})
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.bits = t = max(1, max(self.tokens).bit_length())
+        self.rounds = _ROUNDS.format(t=t, top=t + _POS_BITS, tok=(1 << t) - 1)
+        merges = pa.table({"ab": pa.array([a << t | b for a, b, _ in triples], pa.int64()), "merged": pa.array([r for *_, r in triples], pa.int64())})
+        vocab = pa.table({"tok": pa.array(list(self.tokens), pa.int32()), "id": list(map(str, self.tokens)), "chars": [w.decode("latin-1") for w in self.tokens.values()]})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         self.db.register("m", merges)
         self.db.register("v", vocab)
         self.db.execute("CREATE TABLE merges AS FROM m; CREATE TABLE vocab AS FROM v")
         self.db.unregister("m")
         self.db.unregister("v")
         self.cache: dict[str, tuple[str, int, bytes]] = {}
-        self.coded: dict[bytes, tuple[str, int, bytes]] = {}
+        self.old: dict[str, tuple[str, int, bytes]] = {}
 
     @classmethod
     def shared(cls, rank_file: str, pattern: str) -> Coder:
@@ -121,45 +131,64 @@ class Coder:
                 todo.append(i)
         if todo:
             lengths = np.fromiter((len(words[i]) for i in todo), np.int64, len(todo))
-            byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-            start = pa.table({
-                "word": np.repeat(np.arange(len(todo), dtype=np.int32), lengths),
-                "pos": (np.arange(lengths.sum()) - np.repeat(lengths.cumsum() - lengths, lengths)).astype(np.int32),
-                "tok": byte_ids[np.frombuffer(b"".join([words[i] for i in todo]), np.uint8)],
-            })
-            self.db.register("start", start)
-            got = self.db.execute(_ROUNDS).fetchall()
+            byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+            word = np.repeat(np.arange(len(todo)), lengths) << (self.bits + _POS_BITS)
+            pos = (np.arange(lengths.sum()) - np.repeat(lengths.cumsum() - lengths, lengths)) << self.bits
+            self.db.register("start", pa.table({"x": word | pos | byte_ids[np.frombuffer(b"".join([words[i] for i in todo]), np.uint8)]}))
+            got = self.db.sql(self.rounds).to_arrow_table()
             self.db.unregister("start")
-            for word, ids, n, decoded in got:
-                out[todo[word]] = (ids, n, decoded)
+            for n_word, ids, n, chars in zip(*[c.to_pylist() for c in got.columns], strict=True):
+                decoded = chars.encode("latin-1")
+                # The rows of a word are aggregated in sorted order; only that order gives the word back.
+                if decoded != words[todo[n_word]]:
+                    raise RuntimeError("tokens of a word came out of order")
+                out[todo[n_word]] = (ids, n, decoded)
         return out  # type: ignore[return-value]
 
     def chunks(self, text: str) -> list[str]:
         """Cut a text where a word must end under a pattern whose words hold white space at their start only or alone."""
-        parts = text.split(" ")
-        if all(p and not p[-1].isspace() for p in parts[:-1]) and parts[-1]:
-            return [parts[0], *[" " + p for p in parts[1:]]]
+        if not _RUNS_ON.search(text):
+            first, *parts = text.split(" ")
+            return [first, *[" " + p for p in parts]] if first else [" " + p for p in parts]
         cut, last = [], 0
         for i in range(1, len(text)):
             if text[i] == " " and not text[i - 1].isspace():
                 cut.append(text[last:i])
                 last = i
-        return [*cut, text[last:]] if text else []
+        return [*cut, text[last:]]
 
     def encode(self, texts: list[str]) -> list[list[tuple[str, int, bytes]]]:
         """Encoded chunks of each text."""
-        for x in (self.cache, self.coded):
-            if len(x) > CACHE_ENTRIES:
-                x.clear()
-        cache, coded = self.cache, self.coded
+        if len(self.cache) > CACHE_ENTRIES:
+            self.old, self.cache = self.cache, {}
+        cache, old = self.cache, self.old
         cut = [self.chunks(t) for t in texts]
-        new = {c for chunks in cut for c in chunks if c not in cache}
-        split = {c: [w.encode() for w in self.words(c)] for c in new}
-        distinct = sorted({w for ws in split.values() for w in ws if w not in coded})
-        coded.update(zip(distinct, self.encode_words(distinct), strict=True))
-        for c, ws in split.items():
-            got = [coded[w] for w in ws]
-            cache[c] = got[0] if len(got) == 1 else (",".join([g[0] for g in got]), sum([g[1] for g in got]), b"".join([g[2] for g in got]))
+        # A pass over millions of small tuples for cycles would find none.
+        gc.disable()
+        try:
+            todo, several = set(), {}
+            unseen = set().union(*cut) - cache.keys()
+            for c in unseen & old.keys():
+                cache[c] = old[c]
+            unseen -= old.keys()
+            for c in unseen:
+                if (self.letters_alone and c[c[0] == " " :].isalpha()) or len(ws := self.words(c)) == 1:
+                    todo.add(c)
+                else:
+                    several[c] = ws
+                    for w in ws:
+                        if w not in cache:
+                            if w in old:
+                                cache[w] = old[w]
+                            else:
+                                todo.add(w)
+            new = list(todo)
+            cache.update(zip(new, self.encode_words([w.encode() for w in new]), strict=True))
+            for c, ws in several.items():
+                got = [cache[w] for w in ws]
+                cache[c] = (",".join([g[0] for g in got]), sum([g[1] for g in got]), b"".join([g[2] for g in got]))
+        finally:
+            gc.enable()
         return [[cache[c] for c in chunks] for chunks in cut]
 
 
