@@ -73,26 +73,32 @@ class _Block:
 
         A context that several shards share is put to all of them, so that its successors are counted whole.
         """
-        w, h = self.words.ids.astype(np.int64), self.words.hashes
+        w, h = self.words.ids, self.words.hashes
         v = np.concatenate([[self.end], w[:-1]])
-        code, inverse = np.unique(v << 32 | w, return_inverse=True)
-        count = np.bincount(inverse[self.train], minlength=len(code))
-        cv, cw = (code >> 32).astype(np.int64), (code & 0xFFFFFFFF).astype(np.int64)
-        asked = np.flatnonzero(totals[cv] > 0)
-        cv, cw = cv[asked], cw[asked]
+        # Words by rank of their context key and of their hash, so that one sort of pairs gives the order of the messages.
+        context = mix(h)
+        by_context = np.argsort(context)
+        ranks = np.empty((2, len(h)), np.int64)
+        ranks[0, by_context] = ranks[1, self.order] = np.arange(len(h))
+        code, inverse = np.unique(ranks[0][v] << 32 | ranks[1][w], return_inverse=True)
+        count = np.append(np.bincount(inverse[self.train], minlength=len(code)), 0)
+        asked = np.flatnonzero(totals[by_context[code >> 32]] > 0)
         shares = np.minimum(totals // SPLIT + 1, 1 << bits)
-        successor = h[cw] >> np.uint64(64 - SUCCESSOR_BITS)
+        successor = h[self.order[code[asked] & 0xFFFFFFFF]] >> np.uint64(64 - SUCCESSOR_BITS)
+        cv = by_context[code[asked] >> 32]
         share = mix(successor) % shares[cv].astype(np.uint64)
         shared = np.unique(cv[shares[cv] > 1])
-        each = np.repeat(shared, shares[shared])
-        cv, asked = np.concatenate([cv, each]), np.concatenate([asked, np.full(len(each), len(code))])
-        share = np.concatenate([share, *[np.arange(k, dtype=np.uint64) for k in shares[shared].tolist()]])
-        successor = np.concatenate([successor, np.full(len(each), (1 << SUCCESSOR_BITS) - 1, np.uint64)])
-        count = np.append(count, 0)
-        context = mix(h[cv])
-        shard = ((context >> np.uint64(64 - bits)) + share) & np.uint64((1 << bits) - 1)
-        order = np.lexsort((successor, context, shard))
-        return {"asked": asked[order], "shard": shard[order].astype(np.int64), "context": context[order], "successor": successor[order], "word": cv[order], "count": count[asked[order]], "inverse": inverse, "size": len(code)}
+        if len(shared):
+            each = np.repeat(shared, shares[shared])
+            order = np.argsort(np.concatenate([code[asked], ranks[0][each] << 32 | 0xFFFFFFFF]), kind="stable")
+            asked = np.concatenate([asked, np.full(len(each), len(code))])[order]
+            share = np.concatenate([share, *[np.arange(k, dtype=np.uint64) for k in shares[shared].tolist()]])[order]
+            successor = np.concatenate([successor, np.full(len(each), (1 << SUCCESSOR_BITS) - 1, np.uint64)])[order]
+            cv = np.concatenate([cv, each])[order]
+        shard = ((context[cv] >> np.uint64(64 - bits)) + share) & np.uint64((1 << bits) - 1)
+        order = np.argsort(shard.astype(np.uint16) if bits <= 16 else shard, kind="stable")
+        cv, asked = cv[order], asked[order]
+        return {"asked": asked, "shard": shard[order].astype(np.int64), "context": context[cv], "successor": successor[order], "word": cv, "count": count[asked], "inverse": inverse, "size": len(code)}
 
     def runs(self, g: dict[str, np.ndarray]):
         """(shard, start, end, starts of its contexts) of the ordered bigrams."""
@@ -156,20 +162,24 @@ def _answer_bigrams(table: pa.Table) -> pa.Table:
     for keys, extra in zip(table.column("keys").to_pylist(), table.column("extra").to_pylist(), strict=True):
         context, sizes, total, count = _fields(extra)
         asked.append((expand(context, 8), _counts(sizes).astype(np.int64), _counts(total), expand(keys, SUCCESSOR_BYTES), _counts(count)))
-    context = np.concatenate([np.repeat(c, s) for c, s, _, _, _ in asked])
-    total = np.concatenate([np.repeat(t, s) for _, s, t, _, _ in asked])
-    successor, count = (np.concatenate([a[i] for a in asked]) for i in (3, 4))
+    every = np.concatenate([a[0] for a in asked])
+    contexts, at = np.unique(every, return_inverse=True)
+    total = np.zeros(len(contexts), np.int64)
+    total[at] = np.concatenate([a[2] for a in asked])
+    count = np.concatenate([a[4] for a in asked])
     seen = np.flatnonzero(count)
-    order = seen[np.lexsort((successor[seen], context[seen]))]
-    context, total, successor, count = context[order], total[order], successor[order], count[order].astype(np.int64)
-    new = np.ones(len(order), bool)
-    new[1:] = (context[1:] != context[:-1]) | (successor[1:] != successor[:-1])
+    key = (np.repeat(at, np.concatenate([a[1] for a in asked])).astype(np.uint64) << np.uint64(SUCCESSOR_BITS) | np.concatenate([a[3] for a in asked]))[seen]
+    order = np.argsort(key)
+    key, count = key[order], count[seen][order].astype(np.int64)
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
     starts = np.flatnonzero(new)
     summed = np.add.reduceat(count, starts) if len(starts) else np.zeros(0, np.int64)
-    context, total, successor = context[starts], total[starts], successor[starts]
-    contexts, number = np.unique(context, return_inverse=True)
+    key = key[starts]
+    number = (key >> np.uint64(SUCCESSOR_BITS)).astype(np.int64)
+    successor = key & np.uint64((1 << SUCCESSOR_BITS) - 1)
     with tempfile.TemporaryDirectory() as folder:
-        trie = Trie(Path(folder), contexts, number, successor, (summed - DISCOUNT) / np.maximum(total, 1))
+        trie = Trie(Path(folder), contexts, number, successor, (summed - DISCOUNT) / np.maximum(total[number], 1))
         rows = []
         for block, (c, s, _, w, _) in zip(table.column("block").to_pylist(), asked, strict=True):
             branching, codes = _packed(trie.branching(c)), zlib.compress(trie.lookup(c, s, w).tobytes(), 1)
