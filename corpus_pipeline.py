@@ -37,8 +37,11 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number of tokens, and digests of the ids and of the text decoded from them, for each document."""
-    return bpe.encode_digest(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
+    """Number of tokens, and digests of the ids and of the text decoded from them, for each document.
+
+    Executors are full by the last stage, so it runs with a small cache and small slices.
+    """
+    return bpe.encode_digest(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN, cache_entries=40_000, slice_chars=1_000_000)
 
 
 STAGES = [

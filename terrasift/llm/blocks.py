@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import let_go, pieces
 
 #: Input bytes of a block, and of what a shard gets.
 BLOCK_BYTES = 10 << 20
@@ -49,6 +49,7 @@ class Words:
     def __init__(self, texts: list[bytes | None], lower: bool, end: bytes | None = None) -> None:
         import xxhash
 
+        let_go()
         ids, starts, known = array("i"), array("q", [0]), defaultdict(count().__next__)
         last = [end] if end is not None else []
         get = known.__getitem__

@@ -22,9 +22,14 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LONG_WORD = 256
+from .common import hold, map_rows
+
+OWNER = "bpe"
+LONG_WORD = 128
+#: Most rows of all rounds of one recursive query, about.
+ROWS_A_QUERY = 8_000_000
 #: Entries of a generation of a worker's cache of words and chunks; beyond it the cache becomes the old generation, and the one before goes.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 #: Characters encoded at once.
 SLICE_CHARS = 4_000_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -75,7 +80,7 @@ class Coder:
         self.rounds = _ROUNDS.format(t=t, top=t + _POS_BITS, tok=(1 << t) - 1)
         merges = pa.table({"ab": pa.array([a << t | b for a, b, _ in triples], pa.int64()), "merged": pa.array([r for *_, r in triples], pa.int64())})
         vocab = pa.table({"tok": pa.array(list(self.tokens), pa.int32()), "id": list(map(str, self.tokens)), "chars": [w.decode("latin-1") for w in self.tokens.values()]})
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         self.db.register("m", merges)
         self.db.register("v", vocab)
         self.db.execute("CREATE TABLE merges AS FROM m; CREATE TABLE vocab AS FROM v")
@@ -83,13 +88,21 @@ class Coder:
         self.db.unregister("v")
         self.cache: dict[str, tuple[str, int, bytes]] = {}
         self.old: dict[str, tuple[str, int, bytes]] = {}
+        self.entries = CACHE_ENTRIES
 
     @classmethod
     def shared(cls, rank_file: str, pattern: str) -> Coder:
         if (rank_file, pattern) not in cls._known:
             cls._known[rank_file, pattern] = cls(rank_file, pattern)
+            hold(OWNER, cls.forget)
         return cls._known[rank_file, pattern]
 
+    @classmethod
+    def forget(cls) -> None:
+        for coder in cls._known.values():
+            coder.db.close()
+        cls._known.clear()
+
     def contract_long(self, word: bytes) -> list[int]:
         """The same contraction for one long word, with a heap of (rank, position) and links between tokens."""
         n = len(word)
@@ -116,9 +129,6 @@ class Coder:
 
     def encode_words(self, words: list[bytes]) -> list[tuple[str, int, bytes]]:
         """(comma-joined ids, their number, decoded bytes) of each of these distinct non-empty words."""
-        import numpy as np
-        import pyarrow as pa
-
         out: list[tuple[str, int, bytes] | None] = [None] * len(words)
         todo = []
         for i, w in enumerate(words):
@@ -129,22 +139,34 @@ class Coder:
                 out[i] = (",".join(map(str, ids)), len(ids), b"".join([self.tokens[t] for t in ids]))
             else:
                 todo.append(i)
-        if todo:
-            lengths = np.fromiter((len(words[i]) for i in todo), np.int64, len(todo))
-            byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
-            word = np.repeat(np.arange(len(todo)), lengths) << (self.bits + _POS_BITS)
-            pos = (np.arange(lengths.sum()) - np.repeat(lengths.cumsum() - lengths, lengths)) << self.bits
-            self.db.register("start", pa.table({"x": word | pos | byte_ids[np.frombuffer(b"".join([words[i] for i in todo]), np.uint8)]}))
-            got = self.db.sql(self.rounds).to_arrow_table()
-            self.db.unregister("start")
-            for n_word, ids, n, chars in zip(*[c.to_pylist() for c in got.columns], strict=True):
-                decoded = chars.encode("latin-1")
-                # The rows of a word are aggregated in sorted order; only that order gives the word back.
-                if decoded != words[todo[n_word]]:
-                    raise RuntimeError("tokens of a word came out of order")
-                out[todo[n_word]] = (ids, n, decoded)
+        # A word of n bytes leaves at most n * (n + 1) / 2 rows in all its rounds.
+        start, rows = 0, 0
+        for end, i in enumerate(todo, 1):
+            rows += len(words[i]) * (len(words[i]) + 1) // 2
+            if rows >= ROWS_A_QUERY or end == len(todo):
+                self._contract(words, todo[start:end], out)
+                start, rows = end, 0
         return out  # type: ignore[return-value]
 
+    def _contract(self, words: list[bytes], todo: list[int], out: list) -> None:
+        """Contracts the words of these numbers in one recursive query."""
+        import numpy as np
+        import pyarrow as pa
+
+        lengths = np.fromiter((len(words[i]) for i in todo), np.int64, len(todo))
+        byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        word = np.repeat(np.arange(len(todo)), lengths) << (self.bits + _POS_BITS)
+        pos = (np.arange(lengths.sum()) - np.repeat(lengths.cumsum() - lengths, lengths)) << self.bits
+        self.db.register("start", pa.table({"x": word | pos | byte_ids[np.frombuffer(b"".join([words[i] for i in todo]), np.uint8)]}))
+        got = self.db.sql(self.rounds).to_arrow_table()
+        self.db.unregister("start")
+        for n_word, ids, n, chars in zip(*[c.to_pylist() for c in got.columns], strict=True):
+            decoded = chars.encode("latin-1")
+            # The rows of a word are aggregated in sorted order; only that order gives the word back.
+            if decoded != words[todo[n_word]]:
+                raise RuntimeError("tokens of a word came out of order")
+            out[todo[n_word]] = (ids, n, decoded)
+
     def chunks(self, text: str) -> list[str]:
         """Cut a text where a word must end under a pattern whose words hold white space at their start only or alone."""
         if not _RUNS_ON.search(text):
@@ -159,7 +181,7 @@ class Coder:
 
     def encode(self, texts: list[str]) -> list[list[tuple[str, int, bytes]]]:
         """Encoded chunks of each text."""
-        if len(self.cache) > CACHE_ENTRIES:
+        if len(self.cache) > self.entries:
             self.old, self.cache = self.cache, {}
         cache, old = self.cache, self.old
         cut = [self.chunks(t) for t in texts]
@@ -196,41 +218,45 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def _slices(texts: list[str]) -> Iterator[list[str]]:
+def _slices(texts: list[str], chars: int = SLICE_CHARS) -> Iterator[list[str]]:
     part, size = [], 0
     for t in texts:
         part.append(t)
         size += len(t)
-        if size >= SLICE_CHARS:
+        if size >= chars:
             yield part
             part, size = [], 0
     if part:
         yield part
 
 
-def _run(docs: DataFrame, rank_file: str, pattern: str, id_col: str, text_col: str, schema: str, finish: Callable) -> DataFrame:
-    from .common import map_rows
-
+def _run(docs: DataFrame, rank_file: str, pattern: str, id_col: str, text_col: str, schema: str, finish: Callable, cache_entries: int = CACHE_ENTRIES, slice_chars: int = SLICE_CHARS) -> DataFrame:
     def make() -> Callable:
         coder = Coder.shared(rank_file, pattern)
+        coder.entries = cache_entries
 
         def fn(columns: list[list]) -> list[list]:
-            done = [finish(x) for texts in _slices(columns[1]) for x in coder.encode(texts)]
+            done = [finish(x) for texts in _slices(columns[1], slice_chars) for x in coder.encode(texts)]
             return [columns[0], *([list(c) for c in zip(*done, strict=True)] if done else [[] for _ in schema.split(", ")[1:]])]
 
         return fn
 
-    return map_rows(_texts(docs, id_col, text_col), schema, make)
+    return map_rows(_texts(docs, id_col, text_col), schema, make, OWNER)
+
 
+def encode_digest(
+    docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", cache_entries: int = CACHE_ENTRIES, slice_chars: int = SLICE_CHARS
+) -> DataFrame:
+    """doc_id, n_tokens, SHA-256 of the comma-joined ids and of the decoded bytes, one row for each input row.
 
-def encode_digest(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, SHA-256 of the comma-joined ids and of the decoded bytes, one row for each input row."""
+    A smaller cache and smaller slices take less memory and more time; the results are the same.
+    """
 
     def finish(parts: list[tuple[str, int, bytes]]) -> tuple:
         ids = ",".join([p[0] for p in parts])
         return sum([p[1] for p in parts]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(b"".join([p[2] for p in parts])).hexdigest()
 
-    return _run(docs, rank_file, pattern, id_col, text_col, SCHEMA, finish)
+    return _run(docs, rank_file, pattern, id_col, text_col, SCHEMA, finish, cache_entries, slice_chars)
 
 
 def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..operators.graph import components
 from ..session import checkpointed, release
 from .blocks import BLOCK_BYTES, REPLIES, Words, answered, blocked, expand, first, mix, parts, replies, rest, shard_bits, squeeze
-from .common import bounded, pieces
+from .common import bounded, pieces, tidied, tidy
 
 SHINGLE = 5
 #: Similarity in percent.
@@ -166,6 +166,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 both = len(np.intersect1d(expand(sa, SET_BYTES), expand(sb, SET_BYTES), assume_unique=True))
                 keep.append(100 * both >= percent * (na + nb - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        tidy(cycles=False)
 
     return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "sa", "nb", "sb").mapInArrow(count, "a long, b long")
 
@@ -192,8 +193,8 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: s
 
 def _documents(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str, bits: int) -> DataFrame:
     blocks = blocked(docs, id_col, text_col).groupBy("block")
-    answers = blocks.applyInArrow(lambda t: _ask(t, size, bits), MESSAGES).groupBy("shard").applyInArrow(_answer, REPLIES)
-    return blocks.cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: _rows(a, b, size, percent, bits), _ROWS)
+    answers = blocks.applyInArrow(tidied(lambda t: _ask(t, size, bits)), MESSAGES).groupBy("shard").applyInArrow(tidied(_answer), REPLIES)
+    return blocks.cogroup(answers.groupBy("block")).applyInArrow(tidied(lambda a, b: _rows(a, b, size, percent, bits)), _ROWS)
 
 
 def _components(rows: DataFrame, percent: int, few: int) -> DataFrame:

@@ -15,12 +15,13 @@ from __future__ import annotations
 import bisect
 import hashlib
 import re
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import let_go, map_rows, small
 
 KINDS = ("email", "ip", "card", "phone")
 #: Fewest spelled digits in a row that are taken for a number, not for prose.
@@ -207,8 +208,11 @@ def mask(text: str) -> str:
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The same rows and columns with personal data masked in the text; null stays null."""
-    @F.pandas_udf("string")
-    def masked(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: mask(t) if t else t)
-
-    return docs.withColumn(text_col, masked(F.col(text_col).cast("string")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        for batch in small(batches):
+            at = batch.schema.get_field_index(text_col)
+            masked = pa.array([mask(t) if t else t for t in batch.column(at).to_pylist()], batch.schema.field(at).type)
+            yield batch.set_column(at, batch.schema.field(at), masked)
+
+    return docs.mapInArrow(run, docs.schema)

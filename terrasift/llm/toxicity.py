@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import let_go, map_rows, small
 
 MAX_TRAIN = 4000
 THRESHOLD = 0.7
@@ -92,8 +92,9 @@ def _prefix_counts(sample: DataFrame) -> DataFrame:
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
 
+        let_go()
         seen: Counter = Counter()
-        for batch in batches:
+        for batch in small(batches):
             for fold, toxic, text in zip(*[batch.column(c).to_pylist() for c in ("fold", "toxic", "text")], strict=True):
                 seen.update((fold * 2 + toxic, form) for form in map(expression, (text or "").split()) if form)
         counts: Counter = Counter()
@@ -183,8 +184,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     without = [_kept(prefixes, sums - cells[:, f], kinds) for f in range(FOLDS)]
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         ratios = [Ratios(k) for k in without]
-        for batch in batches:
+        for batch in small(batches):
             folds, marks, texts = (batch.column(c).to_pylist() for c in ("fold", "toxic", "text"))
             yield pa.RecordBatch.from_arrays([pa.array([ratios[f].features(t) for f, t in zip(folds, texts, strict=True)], pa.list_(pa.float64())), pa.array(marks, pa.int32())], names=["x", "y"])
 
@@ -212,8 +214,9 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold:
     """The rows and columns of documents that the model doesn't reject."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         one = model.scorer()
-        for batch in batches:
+        for batch in small(batches):
             yield batch.filter(pa.array([one(t) < threshold for t in batch.column(text_col).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
