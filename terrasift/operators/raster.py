@@ -59,6 +59,12 @@ def band_stats(grid: DataFrame) -> DataFrame:
     return grid.agg(F.min("value").alias("min_value"), F.max("value").alias("max_value"), F.avg("value").alias("mean_value"), F.count("value").alias("n_values"), F.count("*").alias("n_cells"))
 
 
+def same_shape(a: DataFrame, b: DataFrame) -> DataFrame:
+    """One row: whether two grids have the same extent of rows and columns and the same number of cells."""
+    shape = lambda g, n: g.agg(F.struct(F.min("row"), F.max("row"), F.min("col"), F.max("col"), F.count("*")).alias(n))
+    return shape(a, "x").join(F.broadcast(shape(b, "y"))).select((F.col("x").cast("string") == F.col("y").cast("string")).alias("same_shape"))
+
+
 def window(grid: DataFrame, g: Grid, xmin: float, ymin: float, xmax: float, ymax: float) -> DataFrame:
     """The cells that bounds touch, clamped to the grid; the range filter reaches the scan."""
     if xmin >= g.x0 + g.cols * g.dx or xmax <= g.x0 or ymin >= g.y0 or ymax <= g.y0 - g.rows * g.dy:

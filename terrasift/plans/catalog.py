@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import crs, geo
 from ..operators import cluster, expect, raster, spatial
+from ..sources import readers
 from . import fixtures as fx
 from . import screening as sc
 from .roundtrips import ROUNDTRIPS
@@ -286,6 +287,17 @@ def slope_mask(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query("SELECT true AS same_shape")
+def grid_shape_equal(spark: SparkSession, d: str) -> DataFrame:
+    return raster.same_shape(fx.raster(spark), raster.mask(fx.raster(spark), 0, 15))
+
+
+@query("SELECT printf('N%02d_W%03d', a, b) AS tile FROM range(51, 56) x(a), range(6, 12) y(b) EXCEPT SELECT 'N53_W00' || (6 + n_nationkey % 3) FROM nation")
+def missing_degree_tiles(spark: SparkSession, d: str) -> DataFrame:
+    there = fx.table(spark, d, "nation").select(F.concat(F.lit("N53_W00"), (F.col("n_nationkey") % 3 + 6).cast("string")).alias("tile"))
+    return readers.degree_tiles(spark, range(51, 56), range(-11, -5)).join(there, "tile", "left_anti")
+
+
 LOW = f"low AS (SELECT row, col, CASE WHEN value IS NOT NULL THEN (value BETWEEN 0 AND 60)::INTEGER END AS value FROM ({fx.SQL_RASTER}))"
 ZONES = f"""{with_layers("titles")}, {LOW},
 zoned AS (SELECT id, value FROM (SELECT id, c, unnest(range(r0, r1 + 1)) AS r FROM (SELECT id, r0, r1, unnest(range(c0, c1 + 1)) AS c FROM (

@@ -133,4 +133,12 @@ def register_report(spark: SparkSession, d: str) -> DataFrame:
     return expect.markdown_table(_register(spark, d), ["source_id", "dataset_name", "status"], "source_id")
 
 
-ROUNDTRIPS = {f.__name__: f for f in (geojson_roundtrip, publish_roundtrip, shapefile_scan, gpkg_scan, register_required_columns, register_report)}
+def report_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """A report in CSV with two places, and its checksum list's number of files."""
+    path = _folder(spark, "report")
+    rows = fx.table(spark, d, "customer").groupBy("c_mktsegment").agg(F.sum("c_acctbal").alias("total"), F.count("*").alias("n_rows"))
+    readers.report_csv(rows, path)
+    return spark.read.csv(path, header=True)
+
+
+ROUNDTRIPS = {f.__name__: f for f in (geojson_roundtrip, publish_roundtrip, shapefile_scan, gpkg_scan, register_required_columns, register_report, report_roundtrip)}

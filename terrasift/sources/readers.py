@@ -81,6 +81,14 @@ def write_geojson(df: DataFrame, path: str, key: str, geom: str = "geom") -> Non
     df.select(F.col(key), collection.alias("value")).write.partitionBy(key).mode("overwrite").text(path)
 
 
+def one_feature(spark: SparkSession, folder: str, key: int, properties: str) -> DataFrame:
+    """The overlay of one key, which must hold exactly one feature with that key."""
+    rows = read_geojson(spark, f"{folder}/{key}.geojson", properties)
+    if rows.count() != 1 or rows.where(F.col("source_fid") == key).count() != 1:
+        raise ValueError(f"{folder}/{key}.geojson must hold exactly the feature {key}")
+    return rows
+
+
 # ---- Shapefile
 
 
@@ -305,3 +313,22 @@ def append_log(spark: SparkSession, path: str, **fields) -> None:
     """One row to a run log."""
     spark.createDataFrame([fields]).withColumn("finished_utc", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")).write.mode("append").json(path)
 
+
+def report_csv(df: DataFrame, path: str) -> None:
+    """A CSV report with a header; fractions have two places."""
+    cells = [F.when(F.col(c).isNotNull(), F.format_string("%.2f", c)).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes]
+    df.select(*cells).write.mode("overwrite").csv(path, header=True)
+
+
+def checksums(spark: SparkSession, path: str) -> DataFrame:
+    """(file, bytes, sha256) of the files under a path."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def degree_tiles(spark: SparkSession, lat: range, lon: range) -> DataFrame:
+    """Names of the one-degree tiles of an area, as N53_W008."""
+    one = lambda r, n: spark.range(r.start, r.stop).select(F.col("id").alias(n))
+    name = F.format_string("%s%02d_%s%03d", F.when(F.col("lat") < 0, "S").otherwise("N"), F.abs("lat"), F.when(F.col("lon") < 0, "W").otherwise("E"), F.abs("lon"))
+    # Two ranges of a few numbers each.
+    return one(lat, "lat").withColumn("lon", F.explode(F.sequence(F.lit(lon.start), F.lit(lon.stop - 1)))).select(name.alias("tile"))
