@@ -337,7 +337,7 @@ def run_merge_rectangles(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""{with_layers("titles", "pieces")}, {LOW}, bog AS ({shared_cells("titles", "pieces")})
-SELECT id AS title_id, count(*) * 2500 AS low_slope_m2 FROM bog LEFT JOIN low ON low.col = cx // 2 AND low.row = (999 - cy) // 2 WHERE low.value = 1 OR low.row IS NULL GROUP BY id""")
+SELECT id AS title_id, count(*) * 2500 AS low_slope_m2 FROM bog LEFT JOIN low ON low.col = cx // 2 AND low.row = floor((999 - cy) / 2) WHERE low.value = 1 OR low.row IS NULL GROUP BY id""")
 def low_slope_overlay_area(spark: SparkSession, d: str) -> DataFrame:
     bog = spatial.footprint(fx.layer(spark, d, "titles"), fx.layer(spark, d, "pieces"), "id")
     return sc.low_slope_overlay(bog, _low(spark), fx.GRID, "id").select(F.col("id").alias("title_id"), whole(geo.st_area("geom")).alias("low_slope_m2"))
