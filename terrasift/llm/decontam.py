@@ -1,13 +1,14 @@
 """Benchmark decontamination by canonical templates, in DataFrame functions only.
 
 Texts become lower-case words in which numbers, names (capitalised inside a sentence) and units (after a number) are typed
-placeholders. Documents are cut into tiles of ``TILE`` template words; items are windowed at every word. Any run of ``2 * TILE - 1`` equal template
-words holds a whole tile, so a hash join of tiles with windows finds all places where such a run can be. Those places are
-aligned word by word: the longest run must reach ``MIN_RUN`` words, and the placeholders in it must be filled consistently (each value of
-the item stands for one value of the document, and the other way round).
+placeholders. Documents are cut into tiles of ``TILE`` words, once as templates and once as plain words; items are windowed at every word in
+both ways. Any run of ``2 * TILE - 1`` words equal in one of the ways holds a whole tile, so a hash join of tiles with windows finds all places
+where such a run can be. Those places are aligned word by word, first as templates, then with words equal in either way, so an exact passage needs no equal letter case. In a
+run of ``MIN_RUN`` words or more the placeholders must be filled consistently (each value of the item stands for one value of the document,
+and the other way round).
 
 Results: null or empty texts match nothing. Items shorter than ``MIN_RUN`` words are too general to be evidence and match nothing.
-A pair has one row however often it matches, with its longest run. Repeated rows count once; extra columns are ignored.
+A pair has one row however often it matches, with its longest template run, or its longest run in either way where no template run stands. Repeated rows count once; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,30 +42,46 @@ def template(ws: Column) -> Column:
     return F.transform(ws, one)
 
 
+def plain(ws: Column) -> Column:
+    """Words without the mark of names."""
+    return F.transform(ws, lambda w: F.ltrim(w, F.lit(NAME)))
+
+
 def _tiles(t: Column) -> Column:
-    """Hashes of the whole tiles of a template."""
+    """Numbers and hashes of the whole tiles of a template or of plain words."""
     n = F.floor(F.size(t) / TILE).cast("int")
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(F.slice(t, i * TILE + 1, TILE))))
+    tile = lambda i: F.struct(i.alias("no"), F.xxhash64(F.slice(t, i * TILE + 1, TILE)).alias("tile"))
+    return F.transform(F.slice(F.sequence(F.lit(0), n), F.lit(1), n), tile)
 
 
 def _windows(t: Column) -> Column:
     n = F.size(t) - TILE + 1
-    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(t, i, TILE))))
+    return F.transform(F.sequence(F.lit(1), n), lambda i: F.struct((i - 1).alias("at"), F.xxhash64(F.slice(t, i, TILE)).alias("tile")))
+
+
+def _longest(flags: Column) -> Column:
+    """Length of the longest run of ones."""
+    return F.array_max(F.transform(F.split(flags, "0+"), F.char_length))
+
+
+def _flags(a: Column, test) -> Column:
+    return F.array_join(F.transform(a, lambda x: F.when(test(x), F.lit("1")).otherwise(F.lit("0"))), "")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """doc_id, item_id, run_words (longest run), item_words, n_slots (placeholders in the run), n_refilled (filled otherwise than in the item)."""
+    """doc_id, item_id, run_words (longest run; one of templates goes first), item_words, n_slots (placeholders in the run), n_refilled (filled otherwise than in the item)."""
     items = (
         benchmark.select(F.col(item_col).cast("long").alias("item_id"), words(F.col(item_text)).alias("item_ws"))
         .where(F.size("item_ws") >= MIN_RUN)
         .withColumn("item_t", template(F.col("item_ws")))
         .distinct()
     )
-    windows = items.select("item_id", F.posexplode(_windows(F.col("item_t"))).alias("at", "tile")).select("item_id", "at", "tile")
+    both_ways = F.concat(_windows(F.col("item_t")), _windows(F.col("item_p")))
+    windows = items.withColumn("item_p", plain(F.col("item_ws"))).select("item_id", F.inline(both_ways)).distinct()
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
 
-    tiles = source.select("doc_id", words(F.col("text")).alias("ws")).select("doc_id", template(F.col("ws")).alias("t"))
-    tiles = tiles.select("doc_id", F.posexplode(_tiles(F.col("t"))).alias("no", "tile"))
+    tiles = source.select("doc_id", words(F.col("text")).alias("ws")).select("doc_id", template(F.col("ws")).alias("t"), plain(F.col("ws")).alias("p"))
+    tiles = tiles.select("doc_id", F.inline(F.concat(_tiles(F.col("t")), _tiles(F.col("p")))))
     # Where the item would start in the document, counted in template words.
     found = tiles.join(bounded(windows), "tile").select("doc_id", "item_id", (F.col("no") * TILE - F.col("at")).alias("shift"))
     candidates = checkpointed(found.distinct())
@@ -85,18 +102,24 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
             F.slice(ws, shift + first + 1, length).alias("dw"), F.slice(item_ws, first + 1, length).alias("iw"),
             F.slice(template(ws), shift + first + 1, length).alias("dt"), F.slice("item_t", first + 1, length).alias("it"),
         )
-        .withColumn("same", F.array_join(F.zip_with("dt", "it", lambda a, b: F.when(a == b, F.lit("1")).otherwise(F.lit("0"))), ""))
-        .withColumn("run", F.array_max(F.transform(F.split("same", "0+"), F.char_length)))
-        .where(F.col("run") >= MIN_RUN)
-        .withColumn("start", F.position(F.repeat(F.lit("1"), F.col("run")), F.col("same")))
+        .withColumn("aligned", F.arrays_zip("dw", "iw", "dt", "it"))
     )
-    kept = F.arrays_zip(*[F.slice(c, F.col("start"), F.col("run")).alias(c) for c in ("dw", "iw", "dt")])
-    slots = F.filter(kept, lambda x: F.startswith(x.dt, F.lit("<")))
-    filled = pairs.withColumn("slots", F.array_distinct(slots)).withColumn("n_slots", F.size(slots).cast("long"))
-    consistent = (F.size(F.array_distinct(F.transform("slots", lambda x: x.dw))) == F.size("slots")) & (F.size(F.array_distinct(F.transform("slots", lambda x: x.iw))) == F.size("slots"))
+    typed, exact = (lambda x: x.dt == x.it), (lambda x: F.ltrim(x.dw, F.lit(NAME)) == F.ltrim(x.iw, F.lit(NAME)))
+    ways = F.array(F.struct(F.lit(1).alias("typed"), _flags(F.col("aligned"), typed).alias("same")), F.struct(F.lit(0).alias("typed"), _flags(F.col("aligned"), lambda x: typed(x) | exact(x)).alias("same")))
+    pairs = pairs.select("doc_id", "item_id", "item_words", "aligned", F.inline(ways)).where(F.contains("same", F.lit("1" * MIN_RUN)))
+    same = F.col("same")
+    starts = F.filter(F.sequence(F.lit(1), F.char_length(same)), lambda i: (F.substring(same, i, F.lit(MIN_RUN)) == "1" * MIN_RUN) & ((i == 1) | (F.substring(same, i - 1, F.lit(1)) == "0")))
+    runs = pairs.select("doc_id", "item_id", "item_words", "typed", "same", "aligned", F.explode(starts).alias("start"))
+    runs = runs.select("doc_id", "item_id", "item_words", "typed", F.slice("aligned", F.col("start"), F.position(F.lit("0"), F.concat("same", F.lit("0")), F.col("start")) - F.col("start")).alias("words"))
+    is_slot = lambda x: F.startswith(x.dt, F.lit("<")) & (x.dt == x.it)
+    clash = lambda x, y: (x.dw == y.dw) != (x.iw == y.iw)
+    slots = lambda words: F.array_distinct(F.filter(words, is_slot))
+    runs = runs.withColumn("slots", slots(F.col("words")))
+    runs = runs.where(~F.exists("slots", lambda x: F.exists("slots", lambda y: clash(x, y)))).withColumn("run", F.size("words"))
+    filled = runs.withColumn("n_slots", F.size("slots").cast("long"))
     refilled = F.size(F.filter("slots", lambda x: x.dw != x.iw)).cast("long")
-    best = F.max(F.struct(F.col("run").cast("long").alias("run"), (-refilled).alias("same_slots"), "n_slots", F.col("item_words").cast("long").alias("item_words")))
-    return filled.where(consistent).groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", F.col("b.run").alias("run_words"), "b.item_words", "b.n_slots", (-F.col("b.same_slots")).alias("n_refilled"))
+    best = F.max(F.struct("typed", F.col("run").cast("long").alias("run"), (-refilled).alias("same_slots"), "n_slots", F.col("item_words").cast("long").alias("item_words")))
+    return filled.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", F.col("b.run").alias("run_words"), "b.item_words", "b.n_slots", (-F.col("b.same_slots")).alias("n_refilled"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -191,6 +191,13 @@ def test_decontamination_equals_brute_force(spark):
     assert {k: r.run_words for k, r in got.items()} == brute_matches(docs, bench)
 
 
+def test_decontamination_ignores_letter_case(spark):
+    item = "Near the old ford Bela sold nine carts of oats, and Joss sold two of barley, but Tolben, from the mill, took none home"
+    docs = [(1, item.upper()), (2, f"so {item.lower()} then"), (3, f"x, {item.title()}"), (4, "NEAR THE FORD, " + " ".join(f"W{i}" for i in range(20)))]
+    got = matches(spark, docs, [(1, item)])
+    assert {d: (r.run_words, r.n_refilled) for (d, _), r in got.items()} == dict.fromkeys((1, 2, 3), (24, 0))
+
+
 def test_decontamination_clean_keeps_the_rest(spark):
     docs = frame(spark, [(1, ITEM), (2, "other text"), (None, ITEM), (3, None)])
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
