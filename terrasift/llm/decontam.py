@@ -3,9 +3,10 @@
 Texts become lower-case words in which numbers, names (capitalised inside a sentence) and units (after a number) are typed
 placeholders. Documents are cut into tiles of ``TILE`` words, once as templates and once as plain words; items are windowed at every word in
 both ways. Any run of ``2 * TILE - 1`` words equal in one of the ways holds a whole tile, so a hash join of tiles with windows finds all places
-where such a run can be. Those places are aligned word by word, first as templates, then with words equal in either way, so an exact passage needs no equal letter case. In a
+where such a run can be. Those places are aligned word by word, first as templates, then with words equal in either way, so an exact passage needs no equal letter case. In each
 run of ``MIN_RUN`` words or more the placeholders must be filled consistently (each value of the item stands for one value of the document,
-and the other way round).
+and the other way round): it is cut at each refilled placeholder that conflicts with another one of the run, and the longest piece must reach ``MIN_RUN``
+words. Literally equal words never conflict.
 
 Results: null or empty texts match nothing. Items shorter than ``MIN_RUN`` words are too general to be evidence and match nothing.
 A pair has one row however often it matches, with its longest template run, or its longest run in either way where no template run stands. Repeated rows count once; extra columns are ignored.
@@ -115,8 +116,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     clash = lambda x, y: (x.dw == y.dw) != (x.iw == y.iw)
     slots = lambda words: F.array_distinct(F.filter(words, is_slot))
     runs = runs.withColumn("slots", slots(F.col("words")))
-    runs = runs.where(~F.exists("slots", lambda x: F.exists("slots", lambda y: clash(x, y)))).withColumn("run", F.size("words"))
-    filled = runs.withColumn("n_slots", F.size("slots").cast("long"))
+    runs = runs.withColumn("cuts", F.filter("slots", lambda x: (x.dw != x.iw) & F.exists("slots", lambda y: clash(x, y))))
+    runs = runs.withColumn("held", _flags(F.col("words"), lambda x: ~F.array_contains("cuts", x))).withColumn("run", _longest(F.col("held"))).where(F.col("run") >= MIN_RUN)
+    filled = runs.withColumn("slots", slots(F.slice("words", F.position(F.repeat(F.lit("1"), F.col("run")), F.col("held")), F.col("run")))).withColumn("n_slots", F.size("slots").cast("long"))
     refilled = F.size(F.filter("slots", lambda x: x.dw != x.iw)).cast("long")
     best = F.max(F.struct("typed", F.col("run").cast("long").alias("run"), (-refilled).alias("same_slots"), "n_slots", F.col("item_words").cast("long").alias("item_words")))
     return filled.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", F.col("b.run").alias("run_words"), "b.item_words", "b.n_slots", (-F.col("b.same_slots")).alias("n_refilled"))

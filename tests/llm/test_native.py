@@ -198,6 +198,21 @@ def test_decontamination_ignores_letter_case(spark):
     assert {d: (r.run_words, r.n_refilled) for (d, _), r in got.items()} == dict.fromkeys((1, 2, 3), (24, 0))
 
 
+def test_decontamination_cuts_runs_at_conflicts(spark):
+    ws = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
+    ws[4] = ws[30] = "37"
+    at = lambda words, new: " ".join(new.get(i, w) for i, w in enumerate(words))
+    docs = [
+        (1, at(ws, {30: "61"})),  # verbatim but for one place
+        (2, at(ws, {4: "52", 30: "52"})),  # refilled alike
+        (3, at(ws, {4: "52", 30: "61"})),  # between the two conflicts all is verbatim
+        (4, at(ws, {4: "52", 30: "61", 12: "x", 22: "y", 28: "z"})),
+        (5, at(ws, {4: "1", 30: "37", 20: "x"})),  # two template runs of one shift
+    ]
+    got = matches(spark, docs, [(1, " ".join(ws))])
+    assert {d: (r.run_words, r.n_refilled) for (d, _), r in got.items()} == {1: (30, 0), 2: (40, 1), 3: (25, 0), 5: (20, 1)}
+
+
 def test_decontamination_clean_keeps_the_rest(spark):
     docs = frame(spark, [(1, ITEM), (2, "other text"), (None, ITEM), (3, None)])
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
