@@ -4,7 +4,8 @@ Two passes over a whole text. The base pass finds e-mail addresses, IPv4 address
 numbers as they stand. The second pass rewrites the text by small transducers, each a rule from a source span to
 a replacement: look-alike letters and digits to ASCII, runs of spelled digits to digits, disguised at signs and dots
 to the signs. It then detects the same kinds in the rewritten text and maps each span back through the recorded
-alignment. A mapped span is added only where it touches rewritten characters and no span of its kind found before.
+alignment. A mapped span is added where it touches rewritten characters and meets no span of its kind found before. A third pass
+does the same with every spelled digit rewritten, however short its run; the checks of the kinds keep prose out.
 
 Results: null text is empty and has no spans. Offsets are code points, ends exclusive. Spans of one kind never overlap.
 Repeated rows yield repeated results; extra columns are kept by ``redact`` and ignored by ``find``.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import let_go, map_rows, small
 
 KINDS = ("email", "ip", "card", "phone")
-#: Fewest spelled digits in a row that are taken for a number, not for prose.
+#: Fewest spelled digits in a row that are taken for a number beside found spans; fewer may be prose and only show new ones.
 SPELLED_RUN = 4
 
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -46,12 +47,11 @@ SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four":
 _LOOKALIKE = re.compile("[" + re.escape("".join(LOOKALIKES)) + "]")
 _TABLE = str.maketrans(LOOKALIKES)
 _DIGIT_WORD = "(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)"
-_SPELLED = re.compile(rf"(?<![^\W\d_]){_DIGIT_WORD}(?:(?:[\x20,-]|,\x20|\x20-\x20){_DIGIT_WORD}){{{SPELLED_RUN - 1},}}(?![^\W\d_])", re.I)
-_SPELLED_HINT = re.compile(rf"{_DIGIT_WORD}[\x20,-]{{1,3}}{_DIGIT_WORD}[\x20,-]{{1,3}}{_DIGIT_WORD}", re.I)
+_SPELLED = re.compile(rf"(?<![^\W\d_]){_DIGIT_WORD}(?![^\W\d_])(?:(?:,\x20|\x20-\x20|[\x20,-]){_DIGIT_WORD}(?![^\W\d_]))*+", re.I)
 _PLUS = re.compile(r"(?<![^\W\d_])plus\x20(?=\+?[0-9])", re.I)
 _WORD = re.compile(_DIGIT_WORD, re.I)
-_AT = r"(?:\x20?[\[({<]\x20?(?:at|@)\x20?[\])}>]\x20?)"
-_DOT = r"(?:\x20?[\[({<]\x20?(?:dot|\.)\x20?[\])}>]\x20?|\x20(?:dot|DOT|Dot)\x20)"
+_AT = r"(?:\x20?[\[({<]\x20?(?i:at|@)\x20?[\])}>]\x20?)"
+_DOT = r"(?:\x20?[\[({<]\x20?(?i:dot|\.)\x20?[\])}>]\x20?|\x20(?:dot|DOT|Dot)\x20)"
 _SIGNS = re.compile(
     rf"(?P<at>(?<=[A-Za-z0-9])(?:{_AT}(?=[A-Za-z0-9-])|\x20(?:at|AT|At)\x20(?=[A-Za-z0-9-]+{_DOT}[A-Za-z0-9-])))|(?P<dot>(?<=[A-Za-z0-9]){_DOT}(?=[A-Za-z0-9]))"
 )
@@ -145,34 +145,46 @@ class Rewritten:
         return any(x[4] for x in self._slice(s, e))
 
 
-def rewrite(text: str) -> Rewritten | None:
-    """The text with disguises undone; None where no transducer applies."""
+def rewrite(text: str, least: int = SPELLED_RUN) -> Rewritten | None:
+    """The text with disguises undone, spelled digits from so many in a row on; None where no transducer applies."""
     out = Rewritten(text)
     if not text.isascii() and _LOOKALIKE.search(text):
         out.apply([(m.start(), m.end(), LOOKALIKES[m[0]]) for m in _LOOKALIKE.finditer(text)])
-    if _SPELLED_HINT.search(out.text):
-        out.apply([(*m.span(), "".join(SPELLED[w.lower()] for w in _WORD.findall(m[0]))) for m in _SPELLED.finditer(out.text)])
+    spelled = [(m, found) for m in _SPELLED.finditer(out.text) if len(found := _WORD.findall(m[0])) >= least]
+    if spelled:
+        out.apply([(*m.span(), "".join(SPELLED[w.lower()] for w in found)) for m, found in spelled])
         out.apply([(*m.span(), "" if out.text[m.end()] == "+" else "+") for m in _PLUS.finditer(out.text)])
+    elif least < SPELLED_RUN:
+        return None
     if _SIGNS_HINT.search(out.text):
         out.apply([(*m.span(), "@" if m["at"] else ".") for m in _SIGNS.finditer(out.text)])
     return out if len(out.pieces) > 1 or out.pieces[0][4] else None
 
 
+def _met(spans: list[tuple[int, int]], s: int, e: int) -> list[tuple[int, int]]:
+    """Those of some ordered, separate spans that overlap one."""
+    i = bisect.bisect_left(spans, (s, s))
+    return spans[i - (i > 0 and spans[i - 1][1] > s) : bisect.bisect_left(spans, (e, e))]
+
+
 def find(text: str) -> tuple[list[Span], list[Span]]:
-    """Base spans, and all spans: the base ones and those that show once disguises are undone."""
+    """Base spans, and all spans: the base ones and those that show, once disguises are undone."""
     base = detect(text)
-    changed = rewrite(text)
-    if changed is None:
+    layers = [{k: [(s, e) for kind, s, e in base if kind == k] for k in KINDS}]
+    for least in (SPELLED_RUN, 1):
+        if (changed := rewrite(text, least)) is None:
+            continue
+        layer = {k: [] for k in KINDS}
+        for kind, s, e in detect(changed.text):
+            if changed.touched(s, e):
+                s, e = changed.source(s, e)
+                met = [x for old in layers for x in _met(old[kind], s, e)]
+                if not met:
+                    layer[kind].append((s, e))
+        layers.append(layer)
+    if len(layers) == 1:
         return base, base
-    taken = {k: [(s, e) for kind, s, e in base if kind == k] for k in KINDS}
-    for kind, s, e in detect(changed.text):
-        if changed.touched(s, e):
-            s, e = changed.source(s, e)
-            near = taken[kind]
-            i = bisect.bisect_left(near, (s, e))
-            if (i == 0 or near[i - 1][1] <= s) and (i == len(near) or near[i][0] >= e):
-                near.insert(i, (s, e))
-    return base, [(k, s, e) for k in KINDS for s, e in taken[k]]
+    return base, [(k, s, e) for k in KINDS for s, e in sorted(x for layer in layers for x in layer[k])]
 
 
 def _joined(spans: list[Span]) -> str:

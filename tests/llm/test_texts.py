@@ -54,6 +54,23 @@ def test_disguises(text, found):
     assert set(base) <= set(spans)
 
 
+@pytest.mark.parametrize(
+    ("text", "masked"),
+    [
+        ("one nine two dot one six eight dot zero dot one", "<ip>"),
+        ("at 192.one six eight.0.1 now", "at <ip> now"),
+        ("+1 (five five five) 010-9999", "<phone>"),
+        ("card 4242 four two 42 4242 4242 ok", "card <card> ok"),
+        ("john [AT] example [DOT] com", "<email>"),
+        ("john (At) example.com", "<email>"),
+        ("one of five took version two to 10.0.0.1", "one of five took version two to <ip>"),
+        ("call +1 555 123 4567 one day", "call <phone> one day"),
+    ],
+)
+def test_short_spelled_runs_and_capital_marks(text, masked):
+    assert pii.mask(text) == masked
+
+
 def test_long_texts_take_linear_time():
     for t in ("a" * 200_000 + "@", "1." * 100_000, "1" * 200_000, "+1" * 100_000, "[at]" * 50_000, "one " * 50_000, "a@" * 50_000):
         pii.find(t)
