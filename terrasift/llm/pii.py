@@ -4,10 +4,11 @@ Two passes over a whole text. The base pass finds e-mail addresses, IPv4 address
 numbers as they stand. The second pass rewrites the text by small transducers, each a rule from a source span to
 a replacement: look-alike letters and digits to ASCII, runs of spelled digits to digits, disguised at signs and dots
 to the signs. It then detects the same kinds in the rewritten text and maps each span back through the recorded
-alignment. A mapped span is added where it touches rewritten characters and meets no span of its kind found before. A third pass
+alignment. A mapped span is added where it touches rewritten characters and doesn't lie in a span of its kind found before. A third pass
 does the same with every spelled digit rewritten, however short its run; the checks of the kinds keep prose out.
 
-Results: null text is empty and has no spans. Offsets are code points, ends exclusive. Spans of one kind never overlap.
+Results: null text is empty and has no spans. Offsets are code points, ends exclusive. Base spans of one kind never overlap; an
+added span may hold or meet one of which the disguise left a stump.
 Repeated rows yield repeated results; extra columns are kept by ``redact`` and ignored by ``find``.
 """
 
@@ -168,7 +169,7 @@ def _met(spans: list[tuple[int, int]], s: int, e: int) -> list[tuple[int, int]]:
 
 
 def find(text: str) -> tuple[list[Span], list[Span]]:
-    """Base spans, and all spans: the base ones and those that show, once disguises are undone."""
+    """Base spans, and all spans: the base ones and those that show, or show whole, once disguises are undone."""
     base = detect(text)
     layers = [{k: [(s, e) for kind, s, e in base if kind == k] for k in KINDS}]
     for least in (SPELLED_RUN, 1):
@@ -179,7 +180,11 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
             if changed.touched(s, e):
                 s, e = changed.source(s, e)
                 met = [x for old in layers for x in _met(old[kind], s, e)]
-                if not met:
+                if any(a <= s and e <= b for a, b in met):
+                    continue
+                # One short spelled run beside a found span may be prose.
+                sides = [x for x in (text[s : min(a for a, _ in met)], text[max(b for _, b in met) : e]) if x] if met else []
+                if least == SPELLED_RUN or all(len(_WORD.findall(x)) > 1 for x in sides):
                     layer[kind].append((s, e))
         layers.append(layer)
     if len(layers) == 1:
@@ -209,12 +214,12 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def mask(text: str) -> str:
-    """The text with every span replaced by its kind in angle brackets; where kinds overlap, the first span stands."""
+    """The text with every span replaced by its kind in angle brackets; overlapping spans go together as the first of them."""
     parts, at = [], 0
     for s, e, k in sorted((s, -e, k) for k, s, e in find(text)[1]):
         if s >= at:
             parts += [text[at:s], f"<{k}>"]
-            at = -e
+        at = max(at, -e)
     return "".join([*parts, text[at:]]) if at else text
 
 

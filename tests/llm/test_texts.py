@@ -71,6 +71,13 @@ def test_short_spelled_runs_and_capital_marks(text, masked):
     assert pii.mask(text) == masked
 
 
+@pytest.mark.parametrize("text", ["jоhn.smith@example.com", "jane [dot] doe@example.com", "a@mail.example [dot] com"])
+def test_spans_outgrow_their_stumps(text):
+    base, spans = pii.find(f"to {text} now")
+    assert len(base) == 1 and set(base) < set(spans) and ("email", 3, 3 + len(text)) in spans
+    assert pii.mask(f"to {text} now") == "to <email> now"
+
+
 def test_long_texts_take_linear_time():
     for t in ("a" * 200_000 + "@", "1." * 100_000, "1" * 200_000, "+1" * 100_000, "[at]" * 50_000, "one " * 50_000, "a@" * 50_000):
         pii.find(t)
