@@ -1,4 +1,6 @@
-"""Paged feature servers as a data source: one partition per square tile of the extent, pages until one is short.
+"""Paged feature servers as a data source: one partition per square tile of the extent, pages until one is empty or the server says that no more follow.
+
+A server that says nothing of it has also ended where a page is shorter than one before; a first page below the size asked for may be the server's own limit.
 
 Requests are spaced, so all tasks together stay near the polite rate when they run one at a time per server; keep the number of concurrent tasks low.
 Options: url, xmin, ymin, xmax, ymax, tile (metres), page (rows), rate (requests a second), timeout (seconds), where.
@@ -33,6 +35,11 @@ def fetch(url: str, timeout: float) -> dict:
         return json.load(answer)
 
 
+def more_follow(answer: dict) -> bool | None:
+    """What the server says of further rows, beside the features or in their properties; None where it says nothing."""
+    return answer.get("exceededTransferLimit", (answer.get("properties") or {}).get("exceededTransferLimit"))
+
+
 class FeatureServerReader(DataSourceReader):
     fetch = staticmethod(fetch)
 
@@ -46,18 +53,24 @@ class FeatureServerReader(DataSourceReader):
         return tile_grid(*self.extent, self.size)
 
     def read(self, partition: Tile) -> Iterator[tuple]:
-        offset = 0
+        offset = longest = 0
         while True:
             query = {
                 "f": "geojson", "where": self.where, "outFields": "*", "geometry": ",".join(map(str, partition.bounds)), "geometryType": "esriGeometryEnvelope",
                 "spatialRel": "esriSpatialRelIntersects", "resultOffset": offset, "resultRecordCount": self.page,
             }
-            features = self.fetch(f"{self.url}/query?{urllib.parse.urlencode(query)}", self.timeout).get("features", [])
+            answer = self.fetch(f"{self.url}/query?{urllib.parse.urlencode(query)}", self.timeout)
+            # Errors come in the body, with HTTP status 200.
+            if "error" in answer or not isinstance(answer.get("features"), list):
+                raise RuntimeError(f"{self.url}, tile {partition.bounds}, offset {offset}: {json.dumps(answer.get('error', 'no features in the answer'))}")
+            features = answer["features"]
             for f in features:
                 yield json.dumps(f.get("properties") or {}), json.dumps(f.get("geometry"))
-            if len(features) < self.page:
+            more = more_follow(answer)
+            if not features or more is False or (more is None and len(features) < longest):
                 return
-            offset += self.page
+            longest = max(longest, len(features))
+            offset += len(features)
             time.sleep(self.pause)
 
 
