@@ -1,4 +1,4 @@
-"""Toxicity of whole texts from two class-conditional Kneser-Ney models with shared backoff.
+"""Toxicity of whole texts from two class-conditional spelling models with a shared estimate (not Kneser-Ney: no continuation counts, no shorter contexts).
 
 The models spell expressions (lower-case words without outer punctuation) letter by letter from their start. For each class
 P(x|h) = (max(c(hx) - D, 0) + (D * kinds(h) + STRENGTH) * S(x|h)) / (c(h) + STRENGTH), where S is the estimate from the counts of both classes: an expression
