@@ -157,25 +157,31 @@ def key_ranges(track: dict[str, Any]) -> list[tuple[int, int]]:
     return [(samples[k - 1][0], sum(samples[k - 1])) for k in (range(1, len(samples) + 1) if track["keys"] is None else track["keys"]) if 0 < k <= len(samples)]
 
 
-_COLUMNS = "codec string, handler string, timescale long, duration long, n_samples long, keyframes array<struct<start:long,end:long>>, error string"
+_KEYFRAMES = "array<struct<start:long,end:long>>"
+_COLUMNS = f"codec string, handler string, timescale long, duration long, n_samples long, keyframes {_KEYFRAMES}, error string, tracks array<struct<codec:string,handler:string,timescale:long,duration:long,n_samples:long,keyframes:{_KEYFRAMES}>>"
+
+
+def _summary(t: dict[str, Any]) -> dict[str, Any]:
+    return {k: t[k] for k in ("codec", "handler", "timescale", "duration")} | {"n_samples": len(t["samples"]), "keyframes": [{"start": a, "end": b} for a, b in key_ranges(t)]}
 
 
 def _columns(data: bytes | None) -> tuple:
     try:
-        found = tracks(data or b"")
+        found = [_summary(t) for t in tracks(data or b"")]
         if not found:
-            return (None,) * 6 + ("no track",)
-        t = found[0]
-        return t["codec"], t["handler"], t["timescale"], t["duration"], len(t["samples"]), [{"start": a, "end": b} for a, b in key_ranges(t)], None
+            return (None,) * 6 + ("no track", None)
+        # Samples of movie fragments (trun, tfhd) are not decoded.
+        fragmented = any(path[-1] in (b"moof", b"mvex") for path, _, _ in boxes(data))
+        return (*found[0].values(), "fragmented: only samples outside of fragments are read" if fragmented else None, found)
     except (ValueError, struct.error) as e:
-        return (None,) * 6 + (str(e),)
+        return (None,) * 6 + (str(e), None)
 
 
 def inspect(media: DataFrame, id_col: str, data_col: str) -> DataFrame:
-    """id, codec, handler, timescale, duration, n_samples, keyframes and error of the first track of each container."""
+    """id, codec, handler, timescale, duration, n_samples, keyframes of the first track of each container, its error, and the same of all its tracks."""
 
     def make():
-        return lambda columns: [columns[0], *([list(c) for c in zip(*map(_columns, columns[1]), strict=True)] or [[]] * 7)]
+        return lambda columns: [columns[0], *([list(c) for c in zip(*map(_columns, columns[1]), strict=True)] or [[]] * 8)]
 
     return map_rows(media.select(F.col(id_col).cast("long").alias("id"), F.col(data_col).cast("binary").alias("data")), "id long, " + _COLUMNS, make)
 

@@ -115,6 +115,20 @@ def test_media_foreign_and_broken_files(spark):
     assert all(got[i].codec is None and got[i].error for i in (2, 3, 4, 5)) and got[None].codec == "raw "
 
 
+def test_media_tracks_and_fragments(spark):
+    good = media.pack(b"abc")
+    path, body, end = next(b for b in media.boxes(good) if b[0] == (b"moov",))
+    traks = [good[b[1] - 8 : b[2]] for b in media.boxes(good, body, end) if b[0][-1] == b"trak"]
+    second = traks[0].replace(b"soun", b"vide").replace(b"raw ", b"avc1")
+    # The boxes before the media data keep their place: the longer moov comes at the end, a free box stands where it was.
+    longer = good[: body - 4] + b"free" + good[body:] + media._box(b"moov", good[body:end], second)
+    rows = [(1, longer), (2, good + media._box(b"moof", media._box(b"traf")))]
+    got = {r.id: r for r in media.inspect(spark.createDataFrame(rows, "id long, data binary"), "id", "data").collect()}
+    assert [(t.codec, t.handler, t.n_samples, len(t.keyframes)) for t in got[1].tracks] == [("raw ", "soun", 1, 1), ("avc1", "vide", 1, 1)]
+    assert got[1].codec == "raw " and got[1].error is None
+    assert len(got[2].tracks) == 1 and "fragmented" in got[2].error
+
+
 def test_media_digest(spark):
     rows = [(1, "é" * 300), (2, "é" * 300), (3, None), (4, ""), (4, "")]
     got = {r.doc_id: r for r in media.media_digest(frame(spark, rows)).collect()}
