@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from .expect import ranked
 from .graph import components
 from .spatial import CELL, pairs
 
@@ -21,8 +22,8 @@ def clusters(pieces: DataFrame, key: str, gap: float, least_area: float, geom: s
     """cluster_id (from 1 by smallest member), first_key, members, link_gap_m, core_area, meets: area at least ``least_area``."""
     joined = link(pieces, key, gap, geom, cell).join(pieces.select(key, geo.st_area(geom).alias("area")), key)
     sums = joined.groupBy("cluster").agg(F.count("*").alias("members"), F.sum("area").alias("core_area"))
-    return sums.select(
-        F.row_number().over(Window.orderBy("cluster")).alias("cluster_id"), F.col("cluster").alias("first_key"), "members", F.lit(float(gap)).alias("link_gap_m"), "core_area",
+    return ranked(sums, "cluster_id", F.col("cluster")).select(
+        "cluster_id", F.col("cluster").alias("first_key"), "members", F.lit(float(gap)).alias("link_gap_m"), "core_area",
         (F.col("core_area") >= least_area).cast("int").alias("meets"),
     )
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 
 class GateError(ValueError):
     """A gate was not passed."""
@@ -56,8 +58,22 @@ def flag_parity(df: DataFrame, flag: str, overlays: DataFrame, key: str) -> Data
 
 
 def ranked(df: DataFrame, name: str, *order: Column) -> DataFrame:
-    """Rank by position. The order is total where a unique key closes it; a global rank is one ordered pass."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+    """Rank by position, from 1. The order is total where a unique key closes it.
+
+    Rows are split into ranges of the order, sorted there and put to rest; a rank is the number of rows in the ranges before and the place in the own range, so
+    no task sees all rows. What reaches the driver is one number per range.
+    """
+    at_rest = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    place = F.monotonically_increasing_id()
+    placed = at_rest.withColumn("_place", place)
+    part, inside = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
+    sizes = {r.p: r["n"] for r in placed.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
+    before, total = [], 0
+    for p in range(max(sizes, default=-1) + 1):
+        before.append(total)
+        total += sizes.get(p, 0)
+    offsets = F.array(*map(F.lit, before)).cast("array<bigint>")
+    return placed.withColumn(name, F.element_at(offsets, part.cast("int") + 1) + inside + 1).drop("_place")
 
 
 def register_problems(df: DataFrame, required: list[str]) -> DataFrame:
@@ -69,7 +85,8 @@ def register_problems(df: DataFrame, required: list[str]) -> DataFrame:
 def markdown_table(df: DataFrame, columns: list[str], order: str) -> DataFrame:
     """Lines of a Markdown table, in order: header, rule, rows; bars and line feeds in cells are escaped."""
     cell = lambda c: F.regexp_replace(F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), r"\|", r"\\|"), r"\r?\n", " ")
-    rows = df.select((F.row_number().over(Window.orderBy(order)) + 1).alias("line_no"), F.concat(F.lit("| "), F.concat_ws(" | ", *map(cell, columns)), F.lit(" |")).alias("line"))
+    lines = df.select(F.col(order).alias("_order"), F.concat(F.lit("| "), F.concat_ws(" | ", *map(cell, columns)), F.lit(" |")).alias("line"))
+    rows = ranked(lines, "line_no", F.col("_order"), F.col("line")).select((F.col("line_no") + 1).cast("int").alias("line_no"), "line")
     spark = df.sparkSession
     head = spark.range(2).select((F.col("id")).cast("int").alias("line_no"), F.when(F.col("id") == 0, "| " + " | ".join(columns) + " |").otherwise("|" + " --- |" * len(columns)).alias("line"))
     return head.unionByName(rows)

@@ -33,21 +33,28 @@ def slope_percent(grid: DataFrame, g: Grid) -> DataFrame:
     """Slope in percent after Zevenbergen and Thorne from the four neighbours; at edges and beside NoData the cell itself stands in for
     a missing neighbour and the step halves. A cell without a value has none.
 
-    Every cell sends its value to its neighbours (five rows a cell, one aggregate with map-side sums); no window runs over a whole row.
+    Cells go to their block once, and to a neighbouring block too where they lie at its edge; inside a block, rows and columns are sorted in place.
     """
-    cell = F.col("value")
-    sent = F.array(*[F.struct((F.col("row") + dr).alias("row"), (F.col("col") + dc).alias("col"), F.lit(n).alias("side")) for n, dr, dc in (("c", 0, 0), ("n", 1, 0), ("s", -1, 0), ("w", 0, 1), ("e", 0, -1))])
-    spread = grid.select(cell.cast("double").alias("v"), F.explode(sent).alias("to")).select("v", "to.*")
-    side = lambda n: F.max(F.when(F.col("side") == n, F.col("v"))).alias(n)
-    near = spread.groupBy("row", "col").agg(*[side(n) for n in "cnswe"]).where(F.col("c").isNotNull())
+    r, c = F.col("row"), F.col("col")
+    near_block = lambda x: F.array_distinct(F.array(F.floor((x - 1) / BLOCK), F.floor(x / BLOCK), F.floor((x + 1) / BLOCK)))
+    mine = lambda i, x: i == F.floor(x / BLOCK)
+    # Corners are no neighbours, so a cell goes to the blocks beside it, not across.
+    cross = F.concat(F.transform(near_block(r), lambda i: F.struct(i.alias("br"), F.floor(c / BLOCK).alias("bc"))), F.transform(F.filter(near_block(c), lambda j: ~mine(j, c)), lambda j: F.struct(F.floor(r / BLOCK).alias("br"), j.alias("bc"))))
+    cells = grid.select("row", "col", F.col("value").cast("double").alias("c"), F.explode(cross).alias("b")).select("row", "col", "c", "b.br", "b.bc").repartition("br", "bc")
+    line, stack = Window.partitionBy("br", "bc", "row").orderBy("col"), Window.partitionBy("br", "bc", "col").orderBy("row")
+
+    def beside(w: Window, along: str, step: int) -> Column:
+        return F.when(F.lag(along, step).over(w) == F.col(along) - step, F.lag("c", step).over(w))
+
+    near = cells.withColumns({"w": beside(line, "col", 1), "e": beside(line, "col", -1)}).withColumns({"n": beside(stack, "row", 1), "s": beside(stack, "row", -1)})
+    near = near.where(mine(F.col("br"), r) & mine(F.col("bc"), c))
 
     def gradient(a: str, b: str, step: float) -> Column:
         width = (F.col(a).isNotNull().cast("int") + F.col(b).isNotNull().cast("int")) * step
         return F.when(width > 0, (F.coalesce(a, "c") - F.coalesce(b, "c")) / width).otherwise(0.0)
 
     dx, dy = gradient("w", "e", g.dx), gradient("n", "s", g.dy)
-    values = near.select("row", "col", (100 * F.sqrt(dx * dx + dy * dy)).alias("value"))
-    return grid.select("row", "col").join(values, ["row", "col"], "left")
+    return near.select("row", "col", F.when(F.col("c").isNotNull(), 100 * F.sqrt(dx * dx + dy * dy)).alias("value"))
 
 
 def mask(grid: DataFrame, low: float, high: float) -> DataFrame:
@@ -75,18 +82,22 @@ def window(grid: DataFrame, g: Grid, xmin: float, ymin: float, xmax: float, ymax
 
 
 def cells_in(zones: DataFrame, grid: DataFrame, g: Grid, key: str, geom: str = "geom") -> DataFrame:
-    """(key, row, col, value) of the cells whose centre lies in a zone: blocks of cells meet the blocks of the zone's bounds."""
-    b = geo.st_bounds(geom)
-    z = zones.where(F.col(geom).isNotNull()).select(key, geom, b.alias("b"))
-    r = lambda y: F.floor((g.y0 - y) / (g.dy * BLOCK))
-    c = lambda x: F.floor((x - g.x0) / (g.dx * BLOCK))
-    blocks = F.flatten(F.transform(F.sequence(r(F.col("b.ymax")), r(F.col("b.ymin"))), lambda i: F.transform(F.sequence(c(F.col("b.xmin")), c(F.col("b.xmax"))), lambda j: F.struct(i.alias("br"), j.alias("bc")))))
-    z = z.withColumn("block", F.explode(blocks)).select(key, geom, "b", F.col("block.br").alias("br"), F.col("block.bc").alias("bc"))
+    """(key, row, col, value) of the cells whose centre lies in a zone.
+
+    The cells under a zone's bounds are listed and tested where the zone is; only (key, row, col) travels to meet the grid, cell by cell.
+    """
+    b = lambda c: F.col(f"b.{c}")
+    first = lambda x: F.greatest(F.lit(0), F.ceil(x - 0.5)).cast("int")
+    last = lambda x, most: F.least(F.lit(most - 1), F.floor(x - 0.5)).cast("int")
+    z = zones.where(F.col(geom).isNotNull()).select(key, geom, geo.st_bounds(geom).alias("b"))
+    z = z.withColumns({
+        "r0": first((g.y0 - b("ymax")) / g.dy), "r1": last((g.y0 - b("ymin")) / g.dy, g.rows),
+        "c0": first((b("xmin") - g.x0) / g.dx), "c1": last((b("xmax") - g.x0) / g.dx, g.cols),
+    }).where("r0 <= r1 AND c0 <= c1")
+    under = z.select(key, geom, "c0", "c1", F.explode(F.sequence("r0", "r1")).alias("row")).select(key, geom, "row", F.explode(F.sequence("c0", "c1")).alias("col"))
     x, y = g.centre()
-    cells = grid.select("row", "col", "value", x.alias("x"), y.alias("y"), F.floor(F.col("row") / BLOCK).alias("br"), F.floor(F.col("col") / BLOCK).alias("bc"))
-    inside = F.col("x").between(F.col("b.xmin"), F.col("b.xmax")) & F.col("y").between(F.col("b.ymin"), F.col("b.ymax"))
-    met = cells.join(z, ["br", "bc"]).where(inside)
-    return met.where(geo.st_contains(geom, geo.st_rect(F.col("x"), F.col("y"), F.col("x"), F.col("y")))).select(key, "row", "col", "value")
+    inside = under.where(geo.st_contains(geom, geo.st_rect(x, y, x, y))).select(key, "row", "col")
+    return inside.join(grid.select(F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), "value"), ["row", "col"]).select(key, "row", "col", "value")
 
 
 def zonal(zones: DataFrame, grid: DataFrame, g: Grid, key: str, geom: str = "geom") -> DataFrame:

@@ -1,8 +1,12 @@
 """Grid-partitioned spatial joins and overlays on tables with a WKB column.
 
-A side gets its bounds once, then one row per grid cell that the bounds touch; pairs meet by equality of cells, survive a test of bounds and
-are refined by the exact predicate. A pair is kept only in the cell that holds the lower left corner of the common bounds, so
-no shuffle is needed to drop duplicates. A crowded cell is a skewed join key, which the engine splits.
+Every geometry lies in a grid whose cells are as large as itself, so it touches at most four of them whatever its size. A pair
+meets in the grid of its larger member: that side brings its own cells, the smaller side the cells it touches there. Which grids occur is
+measured first (a few numbers per side). Pairs meet by equality of cells, survive a test of bounds and are refined by the exact predicate. A pair is
+kept only in the cell that holds the lower left corner of the common bounds, so no shuffle is needed to drop duplicates. A crowded cell
+is a skewed join key, which the engine splits.
+
+Overlays and unions put the matched parts to rest in the shared folder once; what follows reads them there and never runs the join again.
 """
 
 from __future__ import annotations
@@ -11,13 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..session import checkpointed
 
-CELL = 1000.0
-#: Geometries united at once below the final union of a group.
+#: Side of the cells of the finest grid; each coarser one has cells twice as wide.
+CELL = 128.0
+#: Geometries united at once.
 UNION_BUCKET = 500
 
 
-def tiles(xmin: Column, ymin: Column, xmax: Column, ymax: Column, size: float) -> Column:
+def tiles(xmin: Column, ymin: Column, xmax: Column, ymax: Column, size: float | Column) -> Column:
     """Array of struct<tx, ty>: the grid cells that bounds touch."""
     span = lambda a, b: F.sequence(F.floor(a / size), F.floor(b / size))
     return F.flatten(F.transform(span(xmin, xmax), lambda x: F.transform(span(ymin, ymax), lambda y: F.struct(x.alias("tx"), y.alias("ty")))))
@@ -29,23 +35,46 @@ def usable(df: DataFrame, geom: str = "geom") -> DataFrame:
 
 
 def _side(df: DataFrame, prefix: str, geom: str, grow: float, cell: float) -> DataFrame:
-    """Columns renamed by prefix, with bounds and one row per cell."""
-    named = usable(df, geom).select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns])
-    b = geo.st_bounds(f"{prefix}{geom}")
-    named = named.withColumn(f"{prefix}b", b)
-    low = [F.col(f"{prefix}b.{c}") - grow for c in ("xmin", "ymin")]
-    high = [F.col(f"{prefix}b.{c}") + grow for c in ("xmax", "ymax")]
-    named = named.withColumns({f"{prefix}box": F.struct(*[c.alias(n) for c, n in zip(low + high, ("x0", "y0", "x1", "y1"), strict=True)]), f"{prefix}t": tiles(*low, *high, cell)})
-    return named.drop(f"{prefix}b").withColumn(f"{prefix}t", F.explode(f"{prefix}t"))
+    """Columns renamed by prefix, with grown bounds (``box``) and the number of the grid."""
+    named = df.where(F.col(geom).isNotNull()).select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns]).withColumn(f"{prefix}b", geo.st_bounds(f"{prefix}{geom}"))
+    b = lambda c: F.col(f"{prefix}b.{c}")
+    # The bounds of an empty geometry are inside out.
+    named = named.where(b("xmin") <= b("xmax"))
+    box = F.struct((b("xmin") - grow).alias("x0"), (b("ymin") - grow).alias("y0"), (b("xmax") + grow).alias("x1"), (b("ymax") + grow).alias("y1"))
+    side = F.greatest(b("xmax") - b("xmin"), b("ymax") - b("ymin")) + 2 * grow
+    level = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(side, F.lit(cell)) / cell))).cast("int")
+    return named.withColumns({f"{prefix}box": box, f"{prefix}level": level}).drop(f"{prefix}b")
+
+
+def _cells(side: DataFrame, prefix: str, others: list[int], owns_ties: bool, cell: float) -> DataFrame:
+    """One row per cell: in the own grid for pairs that this side owns, in the coarser grids of the other side for those it doesn't."""
+    level, box = F.col(f"{prefix}level"), F.col(f"{prefix}box")
+    size = lambda n: F.lit(float(cell)) * F.pow(F.lit(2.0), n)
+    at = lambda n: tiles(box.x0, box.y0, box.x1, box.y1, size(n))
+    coarser = F.filter(F.array(*map(F.lit, others)).cast("array<int>"), (lambda n: n > level) if owns_ties else (lambda n: n >= level))
+    own = F.transform(at(level), lambda t: F.struct(F.lit(owns_ties).alias("left_owns"), level.alias("grid"), t.tx.alias("tx"), t.ty.alias("ty")))
+    guest = F.flatten(F.transform(coarser, lambda n: F.transform(at(n), lambda t: F.struct(F.lit(not owns_ties).alias("left_owns"), n.alias("grid"), t.tx.alias("tx"), t.ty.alias("ty")))))
+    return side.withColumn(f"{prefix}t", F.explode(F.concat(own, guest))).drop(f"{prefix}level")
+
+
+def _grids(left: DataFrame, right: DataFrame) -> tuple[list[int], list[int]]:
+    """Grids that each side lies in: one pass over the bounds."""
+    both = left.select(F.lit(0).alias("side"), F.col("l_level").alias("grid")).unionByName(right.select(F.lit(1).alias("side"), F.col("r_level").alias("grid")))
+    found = both.distinct().collect()  # at most one number per power of two
+    return tuple(sorted(r.grid for r in found if r.side == s) for s in (0, 1))  # type: ignore[return-value]
 
 
 def pairs(left: DataFrame, right: DataFrame, predicate: str = "intersects", distance: float = 0.0, geom: str = "geom", cell: float = CELL) -> DataFrame:
     """Inner join: columns l_* and r_*. predicate: intersects, contains (left contains right), dwithin (at most ``distance``) or bounds."""
     l, r = _side(left, "l_", geom, distance, cell), _side(right, "r_", geom, 0.0, cell)
-    both = l.join(r, (F.col("l_t.tx") == F.col("r_t.tx")) & (F.col("l_t.ty") == F.col("r_t.ty")))
+    l_grids, r_grids = _grids(l, r)
+    # Cells of one grid meet once for pairs that the left side owns (its grid is the coarser one, or the same) and once for the others.
+    same = [F.col(f"l_t.{c}") == F.col(f"r_t.{c}") for c in ("left_owns", "grid", "tx", "ty")]
+    both = _cells(l, "l_", r_grids, True, cell).join(_cells(r, "r_", l_grids, False, cell), same[0] & same[1] & same[2] & same[3])
     x, y = F.greatest("l_box.x0", "r_box.x0"), F.greatest("l_box.y0", "r_box.y0")
     near = (x <= F.least("l_box.x1", "r_box.x1")) & (y <= F.least("l_box.y1", "r_box.y1"))
-    here = (F.floor(x / cell) == F.col("l_t.tx")) & (F.floor(y / cell) == F.col("l_t.ty"))
+    size = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("l_t.grid"))
+    here = (F.floor(x / size) == F.col("l_t.tx")) & (F.floor(y / size) == F.col("l_t.ty"))
     met = both.where(near & here).drop("l_t", "r_t", "l_box", "r_box")
     lg, rg = f"l_{geom}", f"r_{geom}"
     if predicate == "bounds":
@@ -66,19 +95,44 @@ def spatial_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner"
     return left.join(met, key, how)
 
 
+def union_at_rest(parts: DataFrame, keys: list[str], geom: str = "geom") -> DataFrame:
+    """Union of the geometries of each group of a table that is cheap to read twice.
+
+    The largest group is counted first. Where it has at most ``UNION_BUCKET`` rows one aggregate does; else random buckets of that size are
+    united first, level by level, so that no task ever unites more at once.
+    """
+    sizes = parts.groupBy(*keys).count() if keys else parts.agg(F.count("*").alias("count"))
+    most = sizes.agg(F.max("count")).first()[0] or 0
+    step = 0
+    while most > UNION_BUCKET:
+        # Equal geometries would share a bucket.
+        parts = parts.dropDuplicates([*keys, geom]) if step == 0 else parts
+        most = -(-2 * most // UNION_BUCKET)
+        bucket = F.pmod(F.xxhash64(F.col(geom), F.lit(step)), F.lit(most)).alias("_b")
+        parts = parts.groupBy(*keys, bucket).agg(geo.st_union_agg(geom).alias(geom)).select(*keys, geom)
+        step += 1
+    if keys:
+        return parts.groupBy(*keys).agg(geo.st_union_agg(geom).alias(geom))
+    return parts.agg(geo.st_union_agg(geom).alias(geom))
+
+
 def union_by(df: DataFrame, keys: list[str], geom: str = "geom") -> DataFrame:
-    """Union of the geometries of each group: buckets of a group first, then the buckets, so no task unites a whole large group."""
-    parts = df.where(F.col(geom).isNotNull()).withColumn("_n", F.pmod(F.xxhash64(geom), F.lit(1 << 20)))
-    sizes = parts.groupBy(*keys).agg(F.ceil(F.count("*") / UNION_BUCKET).cast("int").alias("_k")) if keys else parts.agg(F.ceil(F.count("*") / UNION_BUCKET).cast("int").alias("_k"))
-    joined = parts.join(sizes, keys) if keys else parts.join(F.broadcast(sizes))
-    some = joined.groupBy(*keys, (F.col("_n") % F.greatest("_k", F.lit(1))).alias("_b")).agg(geo.st_union_agg(geom).alias(geom))
-    return some.groupBy(*keys).agg(geo.st_union_agg(geom).alias(geom)) if keys else some.agg(geo.st_union_agg(geom).alias(geom))
+    """Union of the geometries of each group; the rows are put to rest first, since they are read twice."""
+    return union_at_rest(checkpointed(df.select(*keys, geom).where(F.col(geom).isNotNull())), keys, geom)
+
+
+def common_parts(left: DataFrame, right: DataFrame, key: str, geom: str = "geom", cell: float = CELL) -> DataFrame:
+    """(key, columns of the right side, geom): polygons that a left row shares with right rows, at rest."""
+    rest = [c for c in right.columns if c != geom]
+    cut = pairs(left.select(key, geom), right, geom=geom, cell=cell).select(
+        F.col(f"l_{key}").alias(key), *[F.col(f"r_{c}").alias(c) for c in rest], geo.st_polygonal(geo.st_intersection(f"l_{geom}", f"r_{geom}")).alias(geom)
+    )
+    return checkpointed(cut.where(F.col(geom).isNotNull()))
 
 
 def footprint(left: DataFrame, right: DataFrame, key: str, geom: str = "geom", cell: float = CELL) -> DataFrame:
     """Per left key, the union of its intersections with the right side: (key, geom), for keys with a positive area only."""
-    cut = pairs(left.select(key, geom), right.select(geom), geom=geom, cell=cell).select(F.col(f"l_{key}").alias(key), geo.st_polygonal(geo.st_intersection(f"l_{geom}", f"r_{geom}")).alias(geom))
-    return union_by(cut.where(F.col(geom).isNotNull()), [key], geom).where(geo.st_area(geom) > 0)
+    return union_at_rest(common_parts(left, right.select(geom), key, geom, cell), [key], geom).where(geo.st_area(geom) > 0)
 
 
 def overlap_area(left: DataFrame, right: DataFrame, key: str, name: str, geom: str = "geom", cell: float = CELL) -> DataFrame:
@@ -87,6 +141,20 @@ def overlap_area(left: DataFrame, right: DataFrame, key: str, name: str, geom: s
     return left.join(area, key, "left").withColumn(name, F.coalesce(name, F.lit(0.0)))
 
 
+def overlap_areas(left: DataFrame, layers: dict[str, DataFrame], key: str, together: str, geom: str = "geom", cell: float = CELL) -> DataFrame:
+    """The left rows with the area that each layer covers, and all of them ``together``, counted once: one join for all layers."""
+    tagged = None
+    for name, layer in layers.items():
+        one = layer.select(geom, F.lit(name).alias("layer"))
+        tagged = one if tagged is None else tagged.unionByName(one)
+    each = union_at_rest(common_parts(left, tagged, key, geom, cell), [key, "layer"], geom)
+    area = lambda name: F.sum(F.when(F.col("layer") == name, geo.st_area(geom))).alias(name)
+    # At most one union per layer meets here.
+    areas = each.groupBy(key).agg(*map(area, layers), geo.st_union_agg(geom).alias("_all")).withColumn(together, geo.st_area("_all")).drop("_all")
+    out = left.join(areas, key, "left")
+    return out.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in (*layers, together)})
+
+
 def overlay_intersection(left: DataFrame, right: DataFrame, geom: str = "geom", cell: float = CELL) -> DataFrame:
     """One row per pair with the attributes of both (l_*, r_*) and the common polygon."""
     cut = pairs(left, right, geom=geom, cell=cell).withColumn(geom, geo.st_polygonal(geo.st_intersection(f"l_{geom}", f"r_{geom}")))
@@ -95,10 +163,10 @@ def overlay_intersection(left: DataFrame, right: DataFrame, geom: str = "geom",
 
 def overlay_difference(left: DataFrame, right: DataFrame, key: str, geom: str = "geom", cell: float = CELL) -> DataFrame:
     """Left rows less all matching right geometries; rows without a match pass through, rows without a rest vanish."""
-    met = pairs(left.select(key, geom), right.select(geom), geom=geom, cell=cell).select(F.col(f"l_{key}").alias(key), F.col(f"r_{geom}").alias(geom))
-    mask = union_by(met, [key], geom).select(key, F.col(geom).alias("_mask"))
-    out = left.join(mask, key, "left").withColumn("_rest", F.when(F.col("_mask").isNull(), F.col(geom)).otherwise(geo.st_polygonal(geo.st_difference(geom, "_mask"))))
-    return out.where(F.col("_rest").isNotNull()).where(geo.st_area("_rest") > 0).withColumn(geom, F.col("_rest")).drop("_rest", "_mask")
+    mask = union_at_rest(common_parts(left, right.select(geom), key, geom, cell), [key], geom).select(key, F.col(geom).alias("_mask"))
+    rest = F.when(F.col("_mask").isNull(), F.col(geom)).otherwise(geo.st_polygonal(geo.st_difference(geom, "_mask")))
+    out = left.join(mask, key, "left").withColumn(geom, rest).drop("_mask")
+    return out.where(F.col(geom).isNotNull()).where(geo.st_area(geom) > 0)
 
 
 def singleparts(df: DataFrame, geom: str = "geom") -> DataFrame:
@@ -108,7 +176,7 @@ def singleparts(df: DataFrame, geom: str = "geom") -> DataFrame:
 
 def nearest_within(left: DataFrame, right: DataFrame, key: str, right_key: str, radius: float, geom: str = "geom", cell: float = CELL) -> DataFrame:
     """Per left row the nearest right row within the radius (ties: smallest right key); null columns where there is none."""
-    met = pairs(left.select(key, geom), right, "dwithin", radius, geom, cell).withColumn("distance", geo.st_distance(f"l_{geom}", f"r_{geom}"))
+    met = pairs(left.select(key, geom), right, "bounds", radius, geom, cell).withColumn("distance", geo.st_distance(f"l_{geom}", f"r_{geom}")).where(F.col("distance") <= radius)
     rest = [F.col(f"r_{c}").alias(c) for c in right.columns if c not in (geom, right_key)]
     best = met.groupBy(F.col(f"l_{key}").alias(key)).agg(F.min(F.struct("distance", F.col(f"r_{right_key}").alias(right_key), *rest)).alias("_best"))
     return left.join(best.select(key, "_best.*"), key, "left")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..operators import expect, raster, spatial
+from ..session import checkpointed
 
 HECTARE = 10_000.0
 #: Bands of the distance to the nearest road: label, score, greatest distance.
@@ -28,10 +29,10 @@ def drop_fid(df: DataFrame, to: str | None = None) -> DataFrame:
 
 
 def query_pieces(layer: DataFrame, key: str = "source_fid", geom: str = "geom") -> DataFrame:
-    """Repaired single polygons, split before and after the repair, with a fresh id."""
+    """Repaired single polygons, split before and after the repair, with a fresh id that depends on the geometries only."""
     parts = spatial.singleparts(spatial.usable(layer, geom), geom).withColumn(geom, geo.st_polygonal(geom))
     parts = spatial.singleparts(parts.where(F.col(geom).isNotNull()), geom)
-    return parts.withColumn(key, F.monotonically_increasing_id())
+    return expect.ranked(parts, key, F.xxhash64(geom), F.col(geom))
 
 
 def titles_on(titles: DataFrame, pieces: DataFrame, key: str) -> DataFrame:
@@ -42,20 +43,22 @@ def titles_on(titles: DataFrame, pieces: DataFrame, key: str) -> DataFrame:
 def title_metrics(titles: DataFrame, pieces: DataFrame, leases: DataFrame, key: str) -> DataFrame:
     """title_m2, bog_m2, bog_pct, lease_m2, lease_pct, lease_flag of titles with bog; boundary touches drop out."""
     bog = spatial.footprint(titles, pieces, key).select(key, geo.st_area("geom").alias("bog_m2"))
-    held = titles.join(bog, key).withColumn("title_m2", geo.st_area("geom"))
+    held = checkpointed(titles.join(bog, key).withColumn("title_m2", geo.st_area("geom")))
     out = spatial.overlap_area(held, leases, key, "lease_m2")
     return out.withColumns({"bog_pct": percent(F.col("bog_m2"), F.col("title_m2")), "lease_pct": percent(F.col("lease_m2"), F.col("title_m2")), "lease_flag": (F.col("lease_m2") > 0).cast("int")})
 
 
 def subtract(layer: DataFrame, masks: list[DataFrame], key: str) -> DataFrame:
-    """One overlay after the other taken away."""
-    for m in masks:
-        layer = spatial.overlay_difference(layer, m, key)
-    return layer
+    """All overlays taken away at once: their parts meet the layer in one join."""
+    every = masks[0].select("geom")
+    for m in masks[1:]:
+        every = every.unionByName(m.select("geom"))
+    return spatial.overlay_difference(layer, every, key)
 
 
 def slope_screen(footprints: DataFrame, low: DataFrame, grid: raster.Grid, key: str, least: float) -> DataFrame:
     """bog_m2, cells, low_cells, low_pct, low_m2, over_m2, slope_pass (area of low slope at least ``least``)."""
+    footprints = checkpointed(footprints)
     z = raster.zonal(footprints, low, grid, key).withColumnsRenamed({"cells": "sample_cells", "total": "low_cells"})
     area = footprints.select(key, geo.st_area("geom").alias("bog_m2")).join(z, key)
     inside, over = raster.apportion(F.col("bog_m2"), F.coalesce("low_cells", F.lit(0)), F.col("sample_cells"))
@@ -67,6 +70,7 @@ def slope_screen(footprints: DataFrame, low: DataFrame, grid: raster.Grid, key:
 
 def low_slope_overlay(footprints: DataFrame, low: DataFrame, grid: raster.Grid, key: str) -> DataFrame:
     """Footprints less the cells that are steep or unknown, which are merged to rectangles first."""
+    footprints = checkpointed(footprints)
     steep = low.where(F.coalesce("value", F.lit(0)) != 1)
     boxes = raster.rectangles(raster.merge_runs(steep.withColumn("tile", F.floor(F.col("row") / raster.BLOCK)), ["tile"]), grid)
     return spatial.overlay_difference(footprints, boxes.select("geom"), key)
@@ -74,10 +78,8 @@ def low_slope_overlay(footprints: DataFrame, low: DataFrame, grid: raster.Grid,
 
 def exclusions(footprints: DataFrame, commonage: DataFrame, forest: DataFrame, key: str) -> DataFrame:
     """Per footprint: bog_m2, common_bog_m2, forest_bog_m2, excluded_bog_m2 (their union, counted once), clear_bog_m2 and flags."""
-    out = footprints.withColumn("bog_m2", geo.st_area("geom"))
-    out = spatial.overlap_area(out, commonage, key, "common_bog_m2")
-    out = spatial.overlap_area(out, forest, key, "forest_bog_m2")
-    out = spatial.overlap_area(out, commonage.select("geom").unionByName(forest.select("geom")), key, "excluded_bog_m2")
+    out = checkpointed(footprints.withColumn("bog_m2", geo.st_area("geom")))
+    out = spatial.overlap_areas(out, {"common_bog_m2": commonage, "forest_bog_m2": forest}, key, "excluded_bog_m2")
     shown = lambda c: (F.col(c) / HECTARE >= SHOWN_HA).cast("int")
     return out.withColumns({"clear_bog_m2": F.greatest(F.lit(0.0), F.col("bog_m2") - F.col("excluded_bog_m2")), "common_flag": shown("common_bog_m2"), "forest_flag": shown("forest_bog_m2")})
 

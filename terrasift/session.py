@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +27,21 @@ def local_session(cores: int | None = None, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+#: Folders made for local sessions; they go with the process.
+_own: dict[SparkSession, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; a local one only where the setting is absent."""
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="terrasift-")
+    """The folder in spark.checkpoint.dir, which all executors share; one of this machine only for a local session without the setting."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if spark not in _own:
+        _own[spark] = tempfile.mkdtemp(prefix="terrasift-")
+        atexit.register(shutil.rmtree, _own[spark], ignore_errors=True)
+    return _own[spark]
 
 
 def checkpointed(df: DataFrame, partitions: int | None = None) -> DataFrame:
