@@ -159,15 +159,30 @@ def _points(data: bytes) -> list[tuple[int, int, int, str]]:
     return out
 
 
+def transform_batch(values: list[bytes | None], source: int, target: int) -> list[bytes | None]:
+    """WKB values with their coordinates in another system; Z and M stay as they are. All coordinates go through the series at once."""
+    places, parts = [], []
+    for i, data in enumerate(values):
+        for at, n, size, order in _points(data) if data is not None else ():
+            if n:
+                places.append((i, at, n, size, order))
+                parts.append(np.frombuffer(data, order + "f8", n * size, at).reshape(n, size)[:, :2].astype(float))
+    if not parts:
+        return values
+    flat = np.concatenate(parts)
+    x, y = transform(flat[:, 0], flat[:, 1], source, target)
+    out, start = [None if v is None else bytearray(v) for v in values], 0
+    for i, at, n, size, order in places:
+        c = np.frombuffer(values[i], order + "f8", n * size, at).reshape(n, size).astype(order + "f8")
+        c[:, 0], c[:, 1] = x[start : start + n], y[start : start + n]
+        out[i][at : at + 8 * n * size] = c.tobytes()
+        start += n
+    return [None if v is None else bytes(v) for v in out]
+
+
 def transform_wkb(data: bytes, source: int, target: int) -> bytes:
-    """A WKB value with its coordinates in another system; Z and M stay as they are."""
-    out = bytearray(data)
-    for at, n, size, order in _points(data):
-        if n:
-            c = np.frombuffer(data, order + "f8", n * size, at).reshape(n, size).astype(float)
-            c[:, 0], c[:, 1] = transform(c[:, 0], c[:, 1], source, target)
-            out[at : at + 8 * n * size] = c.astype(order + "f8").tobytes()
-    return bytes(out)
+    """One WKB value in another system."""
+    return transform_batch([data], source, target)[0]
 
 
 def st_transform(g: Column | str, source: int, target: int) -> Column:
@@ -177,6 +192,6 @@ def st_transform(g: Column | str, source: int, target: int) -> Column:
 
     @F.pandas_udf("binary")
     def run(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: None if v is None else transform_wkb(bytes(v), source, target))
+        return pd.Series(transform_batch([None if v is None else bytes(v) for v in values], source, target), index=values.index)
 
     return F.col(g) if isinstance(g, str) and source == target else g if source == target else run(g)

@@ -6,6 +6,7 @@ added. Null in, null out. This module alone touches Spark's internal classes (cl
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column, SparkSession
@@ -170,16 +171,38 @@ def st_polygonal(g: Column | str) -> Column:
     fixed = k.static(_J + "geom.util.GeometryFixer", "fix", k.object(_J + "geom.Geometry"), k.read(_col(g)))
     found = k.static(_J + "geom.util.PolygonExtracter", "getPolygons", k.object("java.util.List"), fixed)
     array = k.static(_J + "geom.GeometryFactory", "toPolygonArray", k.object(f"[L{_J}geom.Polygon;"), found)
-    multi = k.wkb(k.call(k.new(_J + "geom.GeometryFactory"), "createMultiPolygon", k.object(_J + "geom.MultiPolygon"), array))
-    return F.when(st_area(multi) > 0, multi)
+    return _where(k.wkb(k.call(k.new(_J + "geom.GeometryFactory"), "createMultiPolygon", k.object(_J + "geom.MultiPolygon"), array)), st_area)
+
+
+def _where(value: Column, measure: Callable[[Column], Column]) -> Column:
+    """The value where its measure is positive, null elsewhere. The value is named once, so it is computed once."""
+    return F.get(F.filter(F.array(value), lambda g: measure(g) > 0), 0)
+
+
+def _overlay_polygons(a: Column | str, b: Column | str, op: int) -> Column:
+    """Polygons of an overlay in one step, without a detour through bytes."""
+    k = _Catalyst()
+    both = k.static(_J + "operation.overlayng.OverlayNGRobust", "overlay", k.object(_J + "geom.Geometry"), k.read(_col(a)), k.read(_col(b)), F.lit(op))
+    found = k.static(_J + "geom.util.PolygonExtracter", "getPolygons", k.object("java.util.List"), both)
+    array = k.static(_J + "geom.GeometryFactory", "toPolygonArray", k.object(f"[L{_J}geom.Polygon;"), found)
+    return k.wkb(k.call(k.new(_J + "geom.GeometryFactory"), "createMultiPolygon", k.object(_J + "geom.MultiPolygon"), array))
+
+
+def st_common_polygons(a: Column | str, b: Column | str) -> Column:
+    """Polygons of the intersection; empty where there is none."""
+    return _overlay_polygons(a, b, INTERSECTION)
+
+
+def st_rest_polygons(a: Column | str, b: Column | str) -> Column:
+    """Polygons of the difference; empty where there is none."""
+    return _overlay_polygons(a, b, DIFFERENCE)
 
 
 def st_linear(g: Column | str) -> Column:
     """Line parts only, as one line geometry without Z and M; null where no length is left."""
     k = _Catalyst()
     lines = k.static(_J + "geom.util.LinearComponentExtracter", "getGeometry", k.object(_J + "geom.Geometry"), k.read(_col(g)))
-    out = k.wkb(lines)
-    return F.when(st_length(out) > 0, out)
+    return _where(k.wkb(lines), st_length)
 
 
 def st_interior_point(g: Column | str) -> Column:
@@ -223,8 +246,9 @@ def st_as_wkt(g: Column | str) -> Column:
 
 def st_collect(parts: Column) -> Column:
     """A geometry collection of an array of WKB, put together byte by byte."""
-    head = F.concat(F.lit("0000000007"), F.lpad(F.hex(F.size(parts)), 8, "0"))
-    return F.unhex(F.concat(head, F.array_join(F.transform(parts, lambda p: F.hex(p)), "")))
+    head = F.unhex(F.concat(F.lit("0000000007"), F.lpad(F.hex(F.size(parts)), 8, "0")))
+    # Strings only carry the bytes here; nothing reads them as text.
+    return F.concat(head, F.array_join(F.transform(parts, lambda p: p.cast("string")), "").cast("binary"))
 
 
 def st_union_all(parts: Column) -> Column:
@@ -235,5 +259,5 @@ def st_union_all(parts: Column) -> Column:
 
 
 def st_union_agg(g: Column | str) -> Column:
-    """Union of a group, null geometries left out. For groups of unknown size see ``overlay.union_by``."""
+    """Union of a group, null geometries left out. For groups of unknown size see ``spatial.union_by``."""
     return st_union_all(F.collect_list(_col(g)))

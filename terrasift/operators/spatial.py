@@ -125,9 +125,10 @@ def common_parts(left: DataFrame, right: DataFrame, key: str, geom: str = "geom"
     """(key, columns of the right side, geom): polygons that a left row shares with right rows, at rest."""
     rest = [c for c in right.columns if c != geom]
     cut = pairs(left.select(key, geom), right, geom=geom, cell=cell).select(
-        F.col(f"l_{key}").alias(key), *[F.col(f"r_{c}").alias(c) for c in rest], geo.st_polygonal(geo.st_intersection(f"l_{geom}", f"r_{geom}")).alias(geom)
+        F.col(f"l_{key}").alias(key), *[F.col(f"r_{c}").alias(c) for c in rest], geo.st_common_polygons(f"l_{geom}", f"r_{geom}").alias(geom)
     )
-    return checkpointed(cut.where(F.col(geom).isNotNull()))
+    # Mere touches go once the parts are at rest; before, the test would repeat the overlay.
+    return checkpointed(cut).where(geo.st_area(geom) > 0)
 
 
 def footprint(left: DataFrame, right: DataFrame, key: str, geom: str = "geom", cell: float = CELL) -> DataFrame:
@@ -157,16 +158,17 @@ def overlap_areas(left: DataFrame, layers: dict[str, DataFrame], key: str, toget
 
 def overlay_intersection(left: DataFrame, right: DataFrame, geom: str = "geom", cell: float = CELL) -> DataFrame:
     """One row per pair with the attributes of both (l_*, r_*) and the common polygon."""
-    cut = pairs(left, right, geom=geom, cell=cell).withColumn(geom, geo.st_polygonal(geo.st_intersection(f"l_{geom}", f"r_{geom}")))
-    return cut.where(F.col(geom).isNotNull()).drop(f"l_{geom}", f"r_{geom}")
+    met = pairs(left, right, geom=geom, cell=cell)
+    cut = F.filter(F.array(geo.st_common_polygons(f"l_{geom}", f"r_{geom}")), lambda g: geo.st_area(g) > 0)
+    return met.withColumn(geom, F.explode(cut)).drop(f"l_{geom}", f"r_{geom}")
 
 
 def overlay_difference(left: DataFrame, right: DataFrame, key: str, geom: str = "geom", cell: float = CELL) -> DataFrame:
     """Left rows less all matching right geometries; rows without a match pass through, rows without a rest vanish."""
     mask = union_at_rest(common_parts(left, right.select(geom), key, geom, cell), [key], geom).select(key, F.col(geom).alias("_mask"))
-    rest = F.when(F.col("_mask").isNull(), F.col(geom)).otherwise(geo.st_polygonal(geo.st_difference(geom, "_mask")))
-    out = left.join(mask, key, "left").withColumn(geom, rest).drop("_mask")
-    return out.where(F.col(geom).isNotNull()).where(geo.st_area(geom) > 0)
+    rest = F.when(F.col("_mask").isNull(), F.col(geom)).otherwise(geo.st_rest_polygons(geom, "_mask"))
+    # The rest is named once, so that its test doesn't compute it again.
+    return left.join(mask, key, "left").withColumn(geom, F.explode(F.filter(F.array(rest), lambda g: geo.st_area(g) > 0))).drop("_mask")
 
 
 def singleparts(df: DataFrame, geom: str = "geom") -> DataFrame:
@@ -176,7 +178,8 @@ def singleparts(df: DataFrame, geom: str = "geom") -> DataFrame:
 
 def nearest_within(left: DataFrame, right: DataFrame, key: str, right_key: str, radius: float, geom: str = "geom", cell: float = CELL) -> DataFrame:
     """Per left row the nearest right row within the radius (ties: smallest right key); null columns where there is none."""
-    met = pairs(left.select(key, geom), right, "bounds", radius, geom, cell).withColumn("distance", geo.st_distance(f"l_{geom}", f"r_{geom}")).where(F.col("distance") <= radius)
+    met = pairs(left.select(key, geom), right, "bounds", radius, geom, cell)
+    met = met.withColumn("distance", F.explode(F.filter(F.array(geo.st_distance(f"l_{geom}", f"r_{geom}")), lambda d: d <= radius)))
     rest = [F.col(f"r_{c}").alias(c) for c in right.columns if c not in (geom, right_key)]
     best = met.groupBy(F.col(f"l_{key}").alias(key)).agg(F.min(F.struct("distance", F.col(f"r_{right_key}").alias(right_key), *rest)).alias("_best"))
     return left.join(best.select(key, "_best.*"), key, "left")
