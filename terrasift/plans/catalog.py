@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import crs, geo
 from ..operators import cluster, expect, raster, spatial
+from ..session import checkpoint_dir, checkpointed
 from ..sources import readers
 from . import fixtures as fx
 from . import screening as sc
@@ -187,18 +189,53 @@ def rank_equi_join_overlay(spark: SparkSession, d: str) -> DataFrame:
     return overlays.join(sc.web_rank(rows.select("title_id", "clear_bog_m2"), "clear_bog_m2", "title_id").select("title_id", "web_rank"), "title_id")
 
 
-@query(CLEAR + " SELECT count(*) AS n_rows, 1::BIGINT AS first_rank, count(*) AS last_rank, count(*) AS distinct_ranks, 0::BIGINT AS out_of_order FROM candidates")
+RANKS = """, ranked AS (SELECT title_id AS k, clear_bog_m2 AS v, row_number() OVER (ORDER BY clear_bog_m2 DESC, title_id) AS r FROM candidates),
+both_ AS (SELECT 'ranked' AS name, r, v, k FROM ranked UNION ALL SELECT 'spoilt', CASE WHEN r % 7 = 0 THEN r + 1 ELSE r END, v, k FROM ranked),
+pairs_ AS (SELECT a.name, count(*) FILTER (b.v > a.v OR (b.v = a.v AND b.k < a.k)) AS out_of_order FROM both_ a JOIN both_ b ON a.name = b.name AND b.r = a.r + 1 GROUP BY a.name)
+SELECT b.name, count(*) AS n_rows, min(r) AS first_rank, max(r) AS last_rank, count(DISTINCT r) AS distinct_ranks, any_value(out_of_order) AS out_of_order FROM both_ b JOIN pairs_ p ON p.name = b.name GROUP BY b.name"""
+
+
+@query(CLEAR + RANKS)
 def rank_integrity(spark: SparkSession, d: str) -> DataFrame:
-    return expect.rank_integrity(clear_bog_rank(spark, d), "web_rank", "clear_bog_m2", "title_id")
+    """The gate on a good rank and on one with every seventh rank moved."""
+    good = checkpointed(clear_bog_rank(spark, d))
+    spoilt = good.withColumn("web_rank", F.when(F.col("web_rank") % 7 == 0, F.col("web_rank") + 1).otherwise(F.col("web_rank")))
+    gate = lambda rows, name: expect.rank_integrity(rows, "web_rank", "clear_bog_m2", "title_id").select(F.lit(name).alias("name"), "*")
+    return gate(good, "ranked").unionByName(gate(spoilt, "spoilt"))
 
 
-@query(CLEAR + " SELECT count(*) FILTER (common_flag = 1) AS n_flagged, count(*) FILTER (common_bog_m2 > 0) AS n_overlays, 0::BIGINT AS n_missing, 0::BIGINT AS n_unflagged FROM candidates")
+@query(CLEAR + """ SELECT count(*) FILTER (common_flag = 1) AS n_flagged, count(*) FILTER (common_bog_m2 > 5000 AND title_id % 5 > 0) AS n_overlays,
+    count(*) FILTER (common_flag = 1 AND NOT (common_bog_m2 > 5000 AND title_id % 5 > 0)) AS n_missing, count(*) FILTER (common_flag = 0 AND common_bog_m2 > 5000 AND title_id % 5 > 0) AS n_unflagged FROM candidates""")
 def flag_overlay_parity(spark: SparkSession, d: str) -> DataFrame:
-    rows = _candidates(spark, d)
-    return expect.flag_parity(rows, "common_flag", rows.where("common_bog_m2 > 0"), "title_id")
+    """Flags against overlays of which some are gone."""
+    rows = checkpointed(_candidates(spark, d))
+    return expect.flag_parity(rows, "common_flag", rows.where("common_bog_m2 > 5000 AND title_id % 5 > 0"), "title_id")
+
+
+@query(CLEAR + """ SELECT title_id, common_flag, (common_flag = 1 AND title_id % 5 > 0) AS shown, CASE common_flag WHEN 1 THEN 'yes' WHEN 0 THEN 'no' ELSE 'unknown' END AS flag_text FROM candidates""")
+def overlay_shown_flags(spark: SparkSession, d: str) -> DataFrame:
+    """Overlays that the page shows: flagged rows with a file; flags as words."""
+    rows = checkpointed(_candidates(spark, d))
+    shown = sc.overlay_shown(rows, rows.where("title_id % 5 > 0"), "title_id", "common_flag")
+    return shown.select("title_id", "common_flag", "shown", sc.flag_text("common_flag").alias("flag_text"))
+
 
+@query(METRICS + """, met AS (SELECT l.id, count(r.id) AS n_pieces, coalesce(sum(p_size), 0) AS sum_size FROM titles l LEFT JOIN (SELECT p.*, q.p_size FROM pieces p JOIN part q ON p.id = q.p_partkey) r ON """ + TOUCH + """ GROUP BY l.id)
+SELECT id AS title_id, n_pieces, sum_size::BIGINT AS sum_size FROM met""")
+def title_left_join_sum(spark: SparkSession, d: str) -> DataFrame:
+    """Left outer spatial join, summed: titles without a piece keep a row of zeros."""
+    joined = spatial.spatial_join(fx.layer(spark, d, "titles").select("id", "geom"), fx.layer(spark, d, "pieces", "p_size").select("id", "p_size", "geom"), "id", "left")
+    return joined.groupBy(F.col("l_id").alias("title_id")).agg(F.count("r_id").alias("n_pieces"), F.coalesce(F.sum(F.col("r_p_size").cast("long")), F.lit(0)).alias("sum_size"))
 
-@query(CLEAR + " SELECT count(*) AS n_rows, 0::BIGINT AS off_balance, 0::BIGINT AS out_of_range, count(*) FILTER (abs(common_bog_m2 + forest_bog_m2 - excluded_bog_m2) > greatest(0.5, 0.02 * abs(excluded_bog_m2))) AS n_warned FROM candidates")
+
+@query(with_layers("titles", "pieces") + f""", met AS (SELECT l.id, max((l.x0 < r.x1 AND r.x0 < l.x1 AND l.y0 < r.y1 AND r.y0 < l.y1)::INTEGER) AS inside FROM titles l JOIN pieces r ON {TOUCH} GROUP BY l.id)
+SELECT count(*) AS n_touching, count(*) FILTER (inside = 1) AS n_written, count(*) FILTER (inside = 0) AS n_boundary_only FROM met""")
+def boundary_only_titles(spark: SparkSession, d: str) -> DataFrame:
+    """Titles that touch a piece, those with a common area, and those with a common boundary only."""
+    return sc.screening_counters(fx.layer(spark, d, "titles").select("id", "geom"), fx.layer(spark, d, "pieces").select("geom"), "id")
+
+
+@query(CLEAR + " SELECT count(*) AS n_rows, count(*) FILTER (abs(clear_bog_m2 + excluded_bog_m2 - bog_m2) > 0.05) AS off_balance, count(*) FILTER (clear_bog_m2 < 0 OR excluded_bog_m2 > bog_m2) AS out_of_range, count(*) FILTER (abs(common_bog_m2 + forest_bog_m2 - excluded_bog_m2) > greatest(0.5, 0.02 * abs(excluded_bog_m2))) AS n_warned FROM candidates")
 def area_reconcile(spark: SparkSession, d: str) -> DataFrame:
     rows = _candidates(spark, d).withColumns({"sum_m2": F.col("clear_bog_m2") + F.col("excluded_bog_m2"), "parts_m2": F.col("common_bog_m2") + F.col("forest_bog_m2")})
     return rows.agg(
@@ -207,6 +244,21 @@ def area_reconcile(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def web_export(spark: SparkSession, d: str) -> DataFrame:
+    """Ranked candidates as GeoJSON in geographic coordinates, read back; whether the projected area is the exported one to a thousandth."""
+    bog = checkpointed(spatial.footprint(fx.layer(spark, d, "titles"), fx.layer(spark, d, "pieces"), "id"))
+    both = fx.overlay(spark, d, "commonage").select("geom").unionByName(fx.overlay(spark, d, "forest").select("geom"))
+    clear = checkpointed(spatial.overlay_difference(bog, both, "id").withColumn("clear_bog_m2", whole(geo.st_area("geom"))))
+    path = f"{checkpoint_dir(spark)}/web-{uuid.uuid4().hex}"
+    readers.export_web(sc.web_rank(clear, "clear_bog_m2", "id"), path, "id", 2157, crs.st_transform)
+    back = readers.read_geojson(spark, path, "id bigint, clear_bog_m2 bigint, web_rank bigint")
+    area = geo.st_area(crs.st_transform("geom", 4326, 2157))
+    return back.select(F.col("id").alias("title_id"), "web_rank", "clear_bog_m2", (F.abs(area - F.col("clear_bog_m2")) <= 50 + 0.001 * F.col("clear_bog_m2")).alias("area_kept"))
+
+
+QUERIES["web_export"] = web_export
+
+
 # ---- Clusters
 
 
@@ -263,9 +315,8 @@ def eligible_pieces(spark: SparkSession, d: str) -> DataFrame:
 # ---- Rasters
 
 SLOPE = f"""WITH g AS ({fx.SQL_RASTER}),
-near AS (SELECT c.row, c.col, c.value AS c, n.value AS n, s.value AS s, w.value AS w, e.value AS e FROM g c
-    LEFT JOIN g n ON n.row = c.row - 1 AND n.col = c.col LEFT JOIN g s ON s.row = c.row + 1 AND s.col = c.col
-    LEFT JOIN g w ON w.row = c.row AND w.col = c.col - 1 LEFT JOIN g e ON e.row = c.row AND e.col = c.col + 1),
+near AS (SELECT row, col, value AS c, lag(value) OVER v AS n, lead(value) OVER v AS s, lag(value) OVER h AS w, lead(value) OVER h AS e FROM g
+    WINDOW v AS (PARTITION BY col ORDER BY row), h AS (PARTITION BY row ORDER BY col)),
 grad AS (SELECT row, col, c,
     CASE WHEN w IS NULL AND e IS NULL THEN 0 ELSE (coalesce(w, c) - coalesce(e, c)) / (((w IS NOT NULL)::INTEGER + (e IS NOT NULL)::INTEGER) * {fx.GRID.dx}) END AS dx,
     CASE WHEN n IS NULL AND s IS NULL THEN 0 ELSE (coalesce(n, c) - coalesce(s, c)) / (((n IS NOT NULL)::INTEGER + (s IS NOT NULL)::INTEGER) * {fx.GRID.dy}) END AS dy FROM near),
@@ -274,12 +325,12 @@ slope AS (SELECT row, col, CASE WHEN c IS NOT NULL THEN 100 * sqrt(dx * dx + dy
 
 @query(SLOPE + " SELECT row, col, round(value, 4) AS slope_pct FROM slope")
 def slope_zt(spark: SparkSession, d: str) -> DataFrame:
-    return raster.slope_percent(fx.raster(spark), fx.GRID).select("row", "col", F.round("value", 4).alias("slope_pct"))
+    return raster.slope_percent(fx.raster(spark, d), fx.GRID).select("row", "col", F.round("value", 4).alias("slope_pct"))
 
 
 @query(SLOPE + " SELECT count(*) AS n_cells, count(value) AS n_values, count(*) FILTER (value BETWEEN 0 AND 15) AS n_low, round(max(value), 4) AS max_slope, (min(value) >= 0 AND max(value) > 0) AS in_range FROM slope")
 def slope_mask(spark: SparkSession, d: str) -> DataFrame:
-    slope = raster.slope_percent(fx.raster(spark), fx.GRID)
+    slope = raster.slope_percent(fx.raster(spark, d), fx.GRID)
     low = raster.mask(slope, 0, 15)
     s = raster.band_stats(slope)
     return low.agg(F.sum("value").alias("n_low")).join(s).select(
@@ -287,9 +338,22 @@ def slope_mask(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("SELECT true AS same_shape")
+SHAPES_SQL = f"""WITH g AS ({fx.SQL_RASTER}), shapes AS (
+    SELECT 'grid' AS name, min(row) AS a, max(row) AS b, min(col) AS c, max(col) AS d, count(*) AS n FROM g UNION ALL SELECT 'low', min(row), max(row), min(col), max(col), count(*) FROM g
+    UNION ALL SELECT 'cropped', min(row), max(row), min(col), max(col), count(*) FROM g WHERE row < 400 UNION ALL SELECT 'known', min(row), max(row), min(col), max(col), count(*) FROM g WHERE value IS NOT NULL)
+SELECT x.name, (x.a = y.a AND x.b = y.b AND x.c = y.c AND x.d = y.d AND x.n = y.n) AS same_shape FROM shapes x, shapes y WHERE y.name = 'grid'"""
+
+
+@query(SHAPES_SQL)
 def grid_shape_equal(spark: SparkSession, d: str) -> DataFrame:
-    return raster.same_shape(fx.raster(spark), raster.mask(fx.raster(spark), 0, 15))
+    """A grid against itself, its mask, a part of it, and its cells with a value."""
+    grid = fx.raster(spark, d)
+    others = {"grid": grid, "low": raster.mask(grid, 0, 15), "cropped": grid.where("row < 400"), "known": grid.where("value IS NOT NULL")}
+    out = None
+    for name, other in others.items():
+        one = raster.same_shape(grid, other).select(F.lit(name).alias("name"), "same_shape")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("SELECT printf('N%02d_W%03d', a, b) AS tile FROM range(51, 56) x(a), range(6, 12) y(b) EXCEPT SELECT 'N53_W00' || (6 + n_nationkey % 3) FROM nation")
@@ -306,25 +370,25 @@ zoned AS (SELECT id, value FROM (SELECT id, c, unnest(range(r0, r1 + 1)) AS r FR
 zonal AS (SELECT t.id, (x1 - x0) * (y1 - y0) AS bog_m2, count(z.value) AS cells, coalesce(sum(z.value), 0)::BIGINT AS low_cells FROM titles t LEFT JOIN zoned z USING (id) GROUP BY ALL)"""
 
 
-def _low(spark: SparkSession) -> DataFrame:
-    return raster.mask(fx.raster(spark), 0, 60)
+def _low(spark: SparkSession, d: str) -> DataFrame:
+    return raster.mask(fx.raster(spark, d), 0, 60)
 
 
 @query(ZONES + " SELECT id AS title_id, cells, low_cells FROM zonal")
 def zonal_low_slope(spark: SparkSession, d: str) -> DataFrame:
-    z = raster.zonal(fx.layer(spark, d, "titles").select("id", "geom"), _low(spark), fx.GRID, "id")
+    z = raster.zonal(fx.layer(spark, d, "titles").select("id", "geom"), _low(spark, d), fx.GRID, "id")
     return z.select(F.col("id").alias("title_id"), "cells", F.coalesce("total", F.lit(0)).alias("low_cells"))
 
 
 @query(ZONES + ", s AS (SELECT *, CASE WHEN cells > 0 THEN bog_m2 * (low_cells / cells) ELSE 0 END AS low FROM zonal) SELECT id AS title_id, round(CASE WHEN cells > 0 THEN 100 * low_cells / cells ELSE 0 END, 4) AS low_pct, round(low, 2) AS low_m2, round(bog_m2 - low, 2) AS over_m2, (low >= 60000)::INTEGER AS slope_pass FROM s")
 def slope_screen_pass(spark: SparkSession, d: str) -> DataFrame:
-    s = sc.slope_screen(fx.layer(spark, d, "titles").select("id", "geom"), _low(spark), fx.GRID, "id", 60_000)
+    s = sc.slope_screen(fx.layer(spark, d, "titles").select("id", "geom"), _low(spark, d), fx.GRID, "id", 60_000)
     return s.select(F.col("id").alias("title_id"), F.round("low_pct", 4).alias("low_pct"), F.round("low_m2", 2).alias("low_m2"), F.round("over_m2", 2).alias("over_m2"), "slope_pass")
 
 
 @query(ZONES + ", s AS (SELECT *, CASE WHEN cells > 0 THEN bog_m2 * (low_cells / cells) ELSE 0 END AS low FROM zonal) SELECT id AS title_id, round(low, 2) AS low_m2, row_number() OVER (ORDER BY low DESC, id) AS low_rank FROM s")
 def low15_rank(spark: SparkSession, d: str) -> DataFrame:
-    s = sc.slope_screen(fx.layer(spark, d, "titles").select("id", "geom"), _low(spark), fx.GRID, "id", 60_000)
+    s = sc.slope_screen(fx.layer(spark, d, "titles").select("id", "geom"), _low(spark, d), fx.GRID, "id", 60_000)
     return sc.web_rank(s.select(F.col("id").alias("title_id"), "low_m2"), "low_m2", "title_id", "low_rank").select("title_id", F.round("low_m2", 2).alias("low_m2"), F.col("low_rank"))
 
 
@@ -332,7 +396,7 @@ def low15_rank(spark: SparkSession, d: str) -> DataFrame:
 runs AS (SELECT tile, row, min(col) AS col0, max(col) AS col1 FROM (SELECT *, col - row_number() OVER (PARTITION BY row ORDER BY col) AS g FROM steep) GROUP BY tile, row, g)
 SELECT min(row) AS row0, max(row) AS row1, col0, col1 FROM (SELECT *, row - row_number() OVER (PARTITION BY tile, col0, col1 ORDER BY row) AS h FROM runs) GROUP BY tile, col0, col1, h""")
 def run_merge_rectangles(spark: SparkSession, d: str) -> DataFrame:
-    steep = _low(spark).where(F.coalesce("value", F.lit(0)) != 1).withColumn("tile", F.floor(F.col("row") / raster.BLOCK))
+    steep = _low(spark, d).where(F.coalesce("value", F.lit(0)) != 1).withColumn("tile", F.floor(F.col("row") / raster.BLOCK))
     return raster.merge_runs(steep, ["tile"]).select("row0", "row1", "col0", "col1")
 
 
@@ -340,7 +404,7 @@ def run_merge_rectangles(spark: SparkSession, d: str) -> DataFrame:
 SELECT id AS title_id, count(*) * 2500 AS low_slope_m2 FROM bog LEFT JOIN low ON low.col = cx // 2 AND low.row = floor((999 - cy) / 2) WHERE low.value = 1 OR low.row IS NULL GROUP BY id""")
 def low_slope_overlay_area(spark: SparkSession, d: str) -> DataFrame:
     bog = spatial.footprint(fx.layer(spark, d, "titles"), fx.layer(spark, d, "pieces"), "id")
-    return sc.low_slope_overlay(bog, _low(spark), fx.GRID, "id").select(F.col("id").alias("title_id"), whole(geo.st_area("geom")).alias("low_slope_m2"))
+    return sc.low_slope_overlay(bog, _low(spark, d), fx.GRID, "id").select(F.col("id").alias("title_id"), whole(geo.st_area("geom")).alias("low_slope_m2"))
 
 
 # ---- Nearest road
@@ -379,7 +443,8 @@ def road_prefilter(spark: SparkSession, d: str) -> DataFrame:
     return met.groupBy(F.col("r_id").alias("road_id")).agg(F.count("*").alias("n_pieces"))
 
 
-@query(NEAR + " SELECT count(*) AS n_rows, count(*) FILTER (road_id IS NULL) AS n_without, 0::BIGINT AS n_inconsistent FROM banded")
+@query(NEAR + """ SELECT count(*) AS n_rows, count(*) FILTER (road_id IS NULL) AS n_without,
+    count(*) FILTER (access_score <> CASE WHEN access_dist_m <= 150 THEN 3 WHEN access_dist_m <= 300 THEN 2 ELSE 1 END) AS n_inconsistent FROM banded""")
 def access_consistency(spark: SparkSession, d: str) -> DataFrame:
     a = _access(spark, d)
     dist, score = F.col("distance"), F.col("access_score")
@@ -390,18 +455,13 @@ def access_consistency(spark: SparkSession, d: str) -> DataFrame:
 # ---- Geometry and scalars
 
 
-@query(with_layers("pieces") + " SELECT id % 50 AS group_no, id AS piece_id, (x1 - x0) * (y1 - y0) AS part_m2 FROM pieces")
+@query(with_layers("pieces") + " SELECT id % 50 AS group_no, id AS piece_id, (x1 - x0) * (y1 - y0) AS part_m2 FROM pieces UNION ALL SELECT id % 50, id, 50 * (y1 - y0) FROM pieces")
 def multipart_explode(spark: SparkSession, d: str) -> DataFrame:
-    pieces = fx.layer(spark, d, "pieces").select("id", "geom")
-    twin = pieces.select("id", geo.st_collect(F.array("geom", geo.st_buffer("geom", 0.0, 1))).alias("geom"))
-    parts = spatial.singleparts(twin).withColumn("n", F.row_number().over(_first("id")))
-    return parts.where("n = 1").select((F.col("id") % 50).alias("group_no"), F.col("id").alias("piece_id"), whole(geo.st_area("geom")).alias("part_m2"))
-
-
-def _first(key: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(key).orderBy(geo.st_area("geom"))
+    """Multipolygons of a piece and a strip beside it, one row per part."""
+    pieces = fx.layer(spark, d, "pieces")
+    strip = geo.st_rect(F.col("x1") + 50, F.col("y0"), F.col("x1") + 100, F.col("y1"))
+    twin = pieces.select("id", geo.st_collect(F.array("geom", strip)).alias("geom"))
+    return spatial.singleparts(twin).select((F.col("id") % 50).alias("group_no"), F.col("id").alias("piece_id"), whole(geo.st_area("geom")).alias("part_m2"))
 
 
 @query(with_layers("titles") + " SELECT min(x0)::DOUBLE AS xmin, min(y0)::DOUBLE AS ymin, max(x1)::DOUBLE AS xmax, max(y1)::DOUBLE AS ymax FROM titles")
@@ -550,12 +610,40 @@ def json_properties(spark: SparkSession, d: str) -> DataFrame:
     return fx.table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), F.coalesce(F.get_json_object("props", "$.none"), F.lit("absent")).alias("none"))
 
 
-@query("SELECT sum(id)::BIGINT AS checksum, count(*) AS n_points, true AS within_mm FROM range(1000) v(id)")
+# Ellipsoid and projection parameters of the projected national system (EPSG:2157).
+TM = {"a": 6378137.0, "f": 298.257222101, "k0": 0.99982, "lat0": 53.5, "lon0": -8.0, "e0": 600000.0, "n0": 750000.0}
+#: The projection as a plain series of powers of the longitude, independent of the one in ``crs``.
+PROJECT_SQL = f"""WITH p AS (SELECT n_nationkey, radians(51.6 + n_nationkey * 0.14) AS lat, radians(-10.2 + n_nationkey * 0.17) - radians({TM["lon0"]}) AS l, {TM["a"]}::DOUBLE AS a, 1 / {TM["f"]}::DOUBLE AS f, radians({TM["lat0"]}) AS lat0 FROM nation),
+e AS (SELECT *, f * (2 - f) AS e2, f / (2 - f) AS n, a * (1 - f) AS b FROM p),
+m AS (SELECT *, e2 / (1 - e2) * pow(cos(lat), 2) AS eta2, a / sqrt(1 - e2 * pow(sin(lat), 2)) AS nu, tan(lat) AS t,
+    b * {TM["k0"]} * ((1 + n + 5 / 4::DOUBLE * n * n + 5 / 4::DOUBLE * n * n * n) * (lat - lat0) - (3 * n + 3 * n * n + 21 / 8::DOUBLE * n * n * n) * sin(lat - lat0) * cos(lat + lat0)
+        + (15 / 8::DOUBLE * n * n + 15 / 8::DOUBLE * n * n * n) * sin(2 * (lat - lat0)) * cos(2 * (lat + lat0)) - 35 / 24::DOUBLE * n * n * n * sin(3 * (lat - lat0)) * cos(3 * (lat + lat0))) AS arc FROM e)
+SELECT n_nationkey, round({TM["e0"]} + {TM["k0"]} * nu * (l * cos(lat) + pow(l * cos(lat), 3) / 6 * (1 - t * t + eta2) + pow(l * cos(lat), 5) / 120 * (5 - 18 * t * t + pow(t, 4) + 14 * eta2 - 58 * t * t * eta2)))::BIGINT AS easting,
+    round({TM["n0"]} + arc + {TM["k0"]} * nu * t * (pow(l * cos(lat), 2) / 2 + pow(l * cos(lat), 4) / 24 * (5 - t * t + 9 * eta2 + 4 * eta2 * eta2) + pow(l * cos(lat), 6) / 720 * (61 - 58 * t * t + pow(t, 4) + 270 * eta2 - 330 * t * t * eta2)))::BIGINT AS northing,
+    true AS back_within_mm FROM m"""
+
+
+@query(PROJECT_SQL)
 def crs_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """Grid points through each system and back, to a millimetre."""
-    points = spark.range(1000).withColumn("g", geo.st_from_wkt(F.format_string("POINT (%d %d)", 450_000 + F.col("id") * 300, 550_000 + (F.col("id") * 397) % 400_000)))
-    back = geo.st_distance("g", crs.st_transform(crs.st_transform(crs.st_transform("g", 2157, 4326), 4326, 29902), 29902, 2157))
-    return points.agg(F.sum("id").alias("checksum"), F.count("*").alias("n_points"), (F.max(back) < 0.001).alias("within_mm"))
+    """Geographic points projected (to the metre), and whether they come back through a third system to a millimetre."""
+    lat, lon = 51.6 + F.col("n_nationkey") * 0.14, -10.2 + F.col("n_nationkey") * 0.17
+    points = fx.table(spark, d, "nation").withColumn("g", geo.st_from_wkt(F.concat(F.lit("POINT ("), lon.cast("string"), F.lit(" "), lat.cast("string"), F.lit(")"))))
+    points = points.withColumn("p", crs.st_transform("g", 4326, 2157))
+    back = geo.st_distance("p", crs.st_transform(crs.st_transform("p", 2157, 29902), 29902, 2157))
+    return points.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), whole(geo.st_x("p")).alias("easting"), whole(geo.st_y("p")).alias("northing"), (back < 0.001).alias("back_within_mm"))
 
 
 QUERIES.update(ROUNDTRIPS)
+_SQUARES = "SELECT {} FROM (VALUES (1::BIGINT, 'plain', 100::BIGINT), (2::BIGINT, 'holed', 96::BIGINT)) v(id, name, m2)"
+_REGISTER = "register AS (SELECT n_nationkey AS k, n_nationkey::VARCHAR AS source_id, n_name || ' | data, \"quoted\"' AS dataset_name FROM nation)"
+ORACLE_SQL.update({
+    "geojson_roundtrip": with_layers("nha") + " SELECT id AS source_fid, (x1 - x0) * (y1 - y0) AS m2 FROM nha",
+    "publish_roundtrip": with_layers("pieces") + " SELECT id, (x1 - x0) * (y1 - y0) AS m2 FROM pieces",
+    "web_export": CLEAR + " SELECT title_id, row_number() OVER (ORDER BY clear_bog_m2 DESC, title_id) AS web_rank, clear_bog_m2, true AS area_kept FROM candidates WHERE clear_bog_m2 > 0",
+    "shapefile_scan": _SQUARES.format("id, name, m2"),
+    "gpkg_scan": _SQUARES.format("id AS source_fid, name AS county, m2"),
+    "register_required_columns": f"WITH {_REGISTER} SELECT source_id, 'download_url is blank' AS problem FROM register WHERE k % 5 = 0 UNION ALL SELECT source_id, 'local_file is blank' FROM register WHERE k % 7 = 0",
+    "register_report": f"""WITH {_REGISTER} SELECT 0 AS line_no, '| source_id | dataset_name | status |' AS line UNION ALL SELECT 1, '| --- | --- | --- |'
+        UNION ALL SELECT (row_number() OVER (ORDER BY source_id) + 1)::INTEGER, '| ' || source_id || ' | ' || replace(dataset_name, '|', '\\|') || ' | x |' FROM register""",
+    "report_roundtrip": "SELECT c_mktsegment, printf('%.2f', sum(c_acctbal)) AS total, count(*)::VARCHAR AS n_rows FROM customer GROUP BY c_mktsegment",
+})

@@ -61,12 +61,21 @@ def sql_overlay(*names: str) -> str:
     return f"SELECT id, x0, y0, x1, y1 FROM ({sql_layer('overlays', 'c_mktsegment')}) WHERE c_mktsegment IN ({', '.join(repr(SEGMENTS[n]) for n in names)})"
 
 
-def raster(spark: SparkSession) -> DataFrame:
-    """Elevation-like values on GRID; some cells without."""
+def cell_of(key: Column) -> list[Column]:
+    """Row and column of the grid that a key falls on."""
+    k = key.cast("long")
+    return [(k * 31 % GRID.rows).cast("int").alias("row"), (k * 17 % GRID.cols).cast("int").alias("col")]
+
+
+def raster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elevation-like values on GRID, raised by the number of orders that fall on a cell; some cells without."""
     cells = spark.range(GRID.rows * GRID.cols).select((F.col("id") / GRID.cols).cast("int").alias("row"), (F.col("id") % GRID.cols).cast("int").alias("col"))
     r, c = F.col("row").cast("long"), F.col("col").cast("long")
-    return cells.withColumn("value", F.when((r * 31 + c * 17) % 53 != 0, ((r * r * 7 + c * c * 11 + r * c * 3) % 97).cast("double")))
+    raised = table(spark, sf_dir, "orders").groupBy(*cell_of(F.col("o_orderkey"))).agg(F.count("*").alias("n"))
+    value = ((r * r * 7 + c * c * 11 + r * c * 3) % 97 + F.coalesce("n", F.lit(0))).cast("double")
+    return cells.join(raised, ["row", "col"], "left").select("row", "col", F.when((r * 31 + c * 17) % 53 != 0, value).alias("value"))
 
 
-SQL_RASTER = f"""SELECT r::INTEGER AS row, c::INTEGER AS col, CASE WHEN (r * 31 + c * 17) % 53 <> 0 THEN ((r * r * 7 + c * c * 11 + r * c * 3) % 97)::DOUBLE END AS value
-FROM range({GRID.rows}) a(r), range({GRID.cols}) b(c)"""
+SQL_RASTER = f"""SELECT r::INTEGER AS row, c::INTEGER AS col, CASE WHEN (r * 31 + c * 17) % 53 <> 0 THEN ((r * r * 7 + c * c * 11 + r * c * 3) % 97 + coalesce(n, 0))::DOUBLE END AS value
+FROM range({GRID.rows}) a(r) CROSS JOIN range({GRID.cols}) b(c)
+LEFT JOIN (SELECT o_orderkey * 31 % {GRID.rows} AS gr, o_orderkey * 17 % {GRID.cols} AS gc, count(*) AS n FROM orders GROUP BY 1, 2) o ON gr = r AND gc = c"""

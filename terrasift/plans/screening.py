@@ -137,6 +137,18 @@ def overlay_shown(df: DataFrame, overlays: DataFrame, key: str, flag: str) -> Da
     return df.join(have, key, "left").withColumn("shown", (F.col(flag) == 1) & F.coalesce("_has", F.lit(False))).drop("_has")
 
 
+def flag_text(flag: str) -> Column:
+    """A 0/1 flag in words; anything else is unknown."""
+    return F.when(F.col(flag) == 1, "yes").when(F.col(flag) == 0, "no").otherwise("unknown")
+
+
+def screening_counters(titles: DataFrame, pieces: DataFrame, key: str) -> DataFrame:
+    """One row: titles that touch a piece, those with a common area (written), and those with a boundary in common only."""
+    met = spatial.pairs(titles.select(key, "geom"), pieces.select("geom")).select(F.col(f"l_{key}").alias(key), geo.st_area(geo.st_common_polygons("l_geom", "r_geom")).alias("m2"))
+    each = met.groupBy(key).agg(F.max("m2").alias("most"))
+    return each.agg(F.count("*").alias("n_touching"), F.count_if(F.col("most") > 0).alias("n_written"), F.count_if(F.col("most") == 0).alias("n_boundary_only"))
+
+
 def duration_text(seconds: Column) -> Column:
     """1h 02m 03s."""
     s = F.round(seconds).cast("long")

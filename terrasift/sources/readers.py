@@ -9,8 +9,9 @@ import re
 import sqlite3
 import struct
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -81,6 +82,28 @@ def write_geojson(df: DataFrame, path: str, key: str, geom: str = "geom") -> Non
     df.select(F.col(key), collection.alias("value")).write.partitionBy(key).mode("overwrite").text(path)
 
 
+def export_web(df: DataFrame, path: str, key: str, srs: int, reproject: Callable[[str, int, int], Column], geom: str = "geom") -> None:
+    """Features in geographic coordinates (six decimals), one FeatureCollection in one file per output partition; keys must be whole numbers."""
+    if df.where(F.col(key).isNull() | ~F.col(key).cast("string").rlike("^[0-9]+$")).limit(1).count():
+        raise ValueError(f"{key} must be a whole number")
+    placed = df.withColumn(geom, reproject(geom, srs, 4326))
+    properties = F.struct(*[c for c in df.columns if c != geom])
+    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), properties.alias("properties"), geojson_geometry(geom).alias("geometry")))
+    lines = placed.select(feature.alias("value"))
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The features of a partition between the two ends of a collection, a line each."""
+        head = '{"type":"FeatureCollection","features":['
+        for batch in batches:
+            values = batch.column(0).to_pylist()
+            if values:
+                yield pa.RecordBatch.from_pydict({"value": [head + values[0], *["," + v for v in values[1:]]]})
+                head = ","
+        yield pa.RecordBatch.from_pydict({"value": ["]}"] if head == "," else ['{"type":"FeatureCollection","features":[]}']})
+
+    lines.mapInArrow(collect, "value string").write.mode("overwrite").text(path)
+
+
 def one_feature(spark: SparkSession, folder: str, key: int, properties: str) -> DataFrame:
     """The overlay of one key, which must hold exactly one feature with that key."""
     rows = read_geojson(spark, f"{folder}/{key}.geojson", properties)
@@ -293,7 +316,8 @@ def read_register(spark: SparkSession, path: str, required: list[str]) -> DataFr
 
 
 def publish(df: DataFrame, path: str, expected: int | None = None) -> int:
-    """Write beside the target, count what was written, then move into place; the old version stays until then."""
+    """Write beside the target, count what was written, then move into place. The old version is moved aside for that moment and
+    deleted after it, so one whole version is there at any time, under the target's name or with ``_REPLACED`` behind it."""
     spark = df.sparkSession
     temporary = f"{path}_IN_PROGRESS"
     df.write.mode("overwrite").parquet(temporary)
@@ -303,9 +327,13 @@ def publish(df: DataFrame, path: str, expected: int | None = None) -> int:
     jvm = spark._jvm
     target, source = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(temporary)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(target, True)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path}_REPLACED")
+    fs.delete(aside, True)
+    if fs.exists(target) and not fs.rename(target, aside):
+        raise OSError(f"{path} can't be moved aside")
     if not fs.rename(source, target):
-        raise OSError(f"{temporary} can't be moved to {path}")
+        raise OSError(f"{temporary} can't be moved to {path}; the version before is in {path}_REPLACED")
+    fs.delete(aside, True)
     return written
 
 
