@@ -1,23 +1,27 @@
-"""Toxicity of whole texts from two class-conditional spelling models with a shared estimate (not Kneser-Ney: no continuation counts, no shorter contexts).
+"""Toxicity of whole texts from class-conditional Kneser-Ney models over the letters of expressions.
 
-The models spell expressions (lower-case words without outer punctuation) letter by letter from their start. For each class
-P(x|h) = (max(c(hx) - D, 0) + (D * kinds(h) + STRENGTH) * S(x|h)) / (c(h) + STRENGTH), where S is the estimate from the counts of both classes: an expression
-that is rare falls back on shared counts and favours neither class. Prefixes seen fewer than ``LEAST`` times end a spelling.
-A word's log-likelihood ratio is the sum along its longest kept prefix. A text is judged by ratios normalised by its length: their mean, the
-excess of its strongest distinct expressions over the mean, and the share of strong ones. A logistic fit over the training texts, each scored with counts that leave out its
-fold, turns these into a probability.
+An expression is a lower-case word without outer punctuation, read letter by letter from a start to an end mark. For each class
+P(x|h) = (max(c(hx) - D, 0) + (D * kinds(h) + STRENGTH) * S(x|h)) / (c(h) + STRENGTH), where h are the up to ``ORDER - 1`` letters before x, c counts the training texts of
+the class that hold the n-gram's expression, and S is the Kneser-Ney estimate of both classes together: discounted counts, and below them continuation counts (in how many
+contexts an n-gram occurs), context by shorter context. An expression that is rare in a class thus backs off to the counts that both share and favours neither.
+Where only h is known, S cancels out of the ratio of the classes, and where not even h is, the ratio is 1.
 
-Learning uses labelled rows whose crc32 of the id modulo 3 is not 1, at most ``MAX_TRAIN`` of each class (the least by hash of the id). Labels,
+The log-likelihood ratio of an expression is the sum over its letters. A text is judged by ratios normalised by its length: the mean; the mean under a mixture in which
+one expression in ``1 / MIXTURE`` comes from the toxic model; the excess of its strongest distinct expressions over the mean; the share of strong ones. A logistic fit over the training texts, each scored
+with counts that leave out its fold, turns these into a probability. The mean alone can't: ordinary words of a text's language and subject outweigh the few toxic ones
+(figures in the README).
+
+Learning uses labelled rows whose crc32 of the id modulo 3 is not 1, at most ``MAX_TRAIN`` of each class (the least by hash of the id); nothing else of them is cut. Labels,
 language, source and id are never inputs of a score.
 
 Results: null text is empty, and has a score like any other. Several labels of one id count as the highest. Without training rows of both classes the score
-is the share of toxic rows (0 without any). Repeated rows yield repeated results; extra columns are ignored.
+is the share of toxic rows (0 without any). Repeated rows yield repeated results; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,22 +29,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import mix
 from .common import let_go, map_rows, small
 
 MAX_TRAIN = 4000
 THRESHOLD = 0.7
 DISCOUNT = 0.75
-STRENGTH = 100.0
-#: Longest prefix with both its end marks.
-PREFIX = 11
-LEAST = 8
+STRENGTH = 20.0
+#: Symbols of an n-gram: a letter and those before it.
+ORDER = 8
 FOLDS = 4
-ALPHABET = 60
+#: Share of expressions that the mixture takes from the toxic model.
+MIXTURE = 0.003
 #: Excess over a text's mean from which an expression is strong.
-STRONG = 1.5
+STRONG = 3.0
 CACHE_ENTRIES = 150_000
 _OUTER = ".,;:!?|\"'()[]{}<>%&$#*-_/\\`~=+@^"
-_FEATURES = 6
+_FEATURES = 7
+#: White space can't be inside a word, so it marks the ends.
+_START, _END = "\t", "\n"
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def expression(word: str) -> str:
@@ -51,116 +59,173 @@ def held_out(doc_id: F.Column) -> F.Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-class Ratios(dict):
-    """Log-likelihood ratio by word as written; learns words as they come."""
-
-    def __init__(self, kept: dict[str, float]) -> None:
-        super().__init__()
-        self.kept = kept
-        self.forms: dict[str, str] = {}
-
-    def __missing__(self, word: str) -> float:
-        self.forms[word] = form = expression(word)
-        spelled, value = f"^{form}$"[:PREFIX], 0.0
-        if form:
-            for i in range(len(spelled), 1, -1):
-                if (v := self.kept.get(spelled[:i])) is not None:
-                    value = v
-                    break
-        self[word] = value
-        return value
-
-    def features(self, text: str | None) -> list[float]:
-        words = (text or "").split()
-        if not words:
-            return [0.0] * _FEATURES
-        if len(self) > CACHE_ENTRIES:
-            self.clear()
-            self.forms.clear()
-        x = np.fromiter(map(self.__getitem__, words), np.float64, len(words))
-        mean = float(x.mean())
-        forms = self.forms
-        top = heapq.nlargest(3, {forms[w]: self[w] for w in set(words)}.values())
-        top = [v - mean for v in top] + [0.0] * (3 - len(top))
-        strong = int((x - mean > STRONG).sum())
-        return [mean, top[0], sum(top) / 3, math.log1p(strong), 50 * strong / len(words), math.log(len(words))]
-
-
-def _prefix_counts(sample: DataFrame) -> DataFrame:
-    """prefix and its counts by fold and class (ordinary first), over the words of (fold, toxic, text)."""
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-
+def _codes(text: str) -> np.ndarray:
+    return mix(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1))
+
+
+def _found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of keys in a sorted table, and which of them are there."""
+    at = np.searchsorted(table, keys)
+    at[at == len(table)] = 0
+    return at, (table[at] == keys) if len(table) else np.zeros(len(keys), bool)
+
+
+class Ratios:
+    """Log-likelihood ratios of words as written: n-grams by hash with their steps, and contexts with the step of an n-gram that isn't there."""
+
+    def __init__(self, grams: np.ndarray, steps: np.ndarray, contexts: np.ndarray, falls: np.ndarray) -> None:
+        self.grams, self.steps, self.contexts, self.falls = grams, steps, contexts, falls
+        self.cache: dict[str, float] = {}
+
+    def of_forms(self, forms: list[str]) -> np.ndarray:
+        """Sum of the steps of each expression; 0 for an empty one."""
+        code = _codes("".join([f"{_START}{f}{_END}" for f in forms]))
+        sizes = np.fromiter(map(len, forms), np.int64, len(forms)) + 2
+        starts = np.cumsum(sizes) - sizes
+        place = np.arange(len(code)) - np.repeat(starts, sizes)
+        context = np.zeros(len(code), np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(ORDER - 1, 0, -1):
+                inside = np.flatnonzero(place >= k)
+                context[inside] = context[inside] * _STEP + code[inside - k]
+            gram = context * _STEP + code
+        at, known = _found(self.contexts, context)
+        step = np.where(known, self.falls[at], 0) if len(self.contexts) else np.zeros(len(code))
+        at, known = _found(self.grams, gram)
+        if len(self.grams):
+            step = np.where(known, self.steps[at], step)
+        step[starts] = 0
+        return np.where(sizes > 2, np.add.reduceat(step, starts), 0)
+
+    def learn(self, words: list[list[str]]) -> None:
+        """Ratios of all words of some texts go to the cache."""
+        if len(self.cache) > CACHE_ENTRIES:
+            self.cache.clear()
+        new = list(set().union(*words) - self.cache.keys())
+        for i in range(0, len(new), 50_000):
+            part = new[i : i + 50_000]
+            self.cache.update(zip(part, self.of_forms(list(map(expression, part))).tolist(), strict=True))
+
+    def features(self, texts: list[str | None]) -> np.ndarray:
+        """One row of features for each text."""
+        words = [(t or "").split() for t in texts]
+        self.learn(words)
+        out, get = np.zeros((len(texts), _FEATURES)), self.cache.__getitem__
+        for row, ws in zip(out, words, strict=True):
+            if ws:
+                x = np.fromiter(map(get, ws), np.float64, len(ws))
+                mean, n = float(x.mean()), len(x)
+                top = np.zeros(3)
+                best = np.unique(x)[:-4:-1] - mean
+                top[: len(best)] = best
+                strong = int((x - mean > STRONG).sum())
+                mixed = float(np.log1p(MIXTURE * np.expm1(np.minimum(x, 30))).mean())
+                row[:] = mean, math.asinh(mixed / MIXTURE), top[0], top.sum() / 3, math.log1p(strong), 50 * strong / n, math.log(n)
+        return out
+
+
+def _gram_counts(sample: DataFrame) -> DataFrame:
+    """gram and, by fold and class (ordinary first), the number of texts with its expressions, summed over these; out of (fold, toxic, text)."""
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
         seen: Counter = Counter()
         for batch in small(batches):
             for fold, toxic, text in zip(*[batch.column(c).to_pylist() for c in ("fold", "toxic", "text")], strict=True):
-                seen.update((fold * 2 + toxic, form) for form in map(expression, (text or "").split()) if form)
+                seen.update([(fold * 2 + toxic, form) for form in set(map(expression, (text or "").split())) if form])
         counts: Counter = Counter()
         for (cell, form), n in seen.items():
-            spelled = f"^{form}$"[:PREFIX]
-            for i in range(1, len(spelled) + 1):
-                counts[spelled[:i], cell] += n
-        for part in _chunked(list(counts.items()), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in part], pa.string()), pa.array([k[1] for k, _ in part], pa.int32()), pa.array([n for _, n in part], pa.int64())], names=["prefix", "cell", "n"])
-
-    cells = sample.mapInArrow(words, "prefix string, cell int, n long").groupBy("prefix")
-    return cells.agg(*[F.sum(F.when(F.col("cell") == i, F.col("n")).otherwise(0)).alias(f"c{i}") for i in range(2 * FOLDS)])
-
-
-def _chunked(rows: list, size: int) -> Iterator[list]:
-    for i in range(0, len(rows), size):
-        yield rows[i : i + size]
-
-
-def _kept(prefixes: list[str], counts: np.ndarray, kinds: np.ndarray) -> dict[str, float]:
-    """Ratio along each prefix; counts are (ordinary, toxic), kinds (followers seen in ordinary, in toxic, in both together)."""
-    row = {p: i for i, p in enumerate(prefixes)}
-    step = np.full(len(prefixes), np.nan)
-    parent = np.array([row.get(p[:-1], -1) for p in prefixes])
-    inner = np.flatnonzero(parent >= 0)
-    h = parent[inner]
-    c, total, k = counts[inner], counts[h], kinds[h]
-    n = np.maximum(total.sum(axis=1), 1)
-    shared = np.where(total.sum(axis=1) > 0, (np.maximum(c.sum(axis=1) - DISCOUNT, 0) + DISCOUNT * k[:, 2] / ALPHABET) / n, 1 / ALPHABET)
-    p = (np.maximum(c - DISCOUNT, 0) + (DISCOUNT * k[:, :2] + STRENGTH) * shared[:, None]) / (total + STRENGTH)
-    step[inner] = np.log(p[:, 1] / p[:, 0])
-    out = {"^": 0.0}
-    for i in sorted(inner.tolist(), key=lambda i: len(prefixes[i])):
-        if (above := out.get(prefixes[i][:-1])) is not None:
-            out[prefixes[i]] = above + float(step[i])
-    return out
+            spelled = f"{_START}{form}{_END}"
+            for i in range(2, len(spelled) + 1):
+                counts[spelled[max(0, i - ORDER) : i], cell] += n
+        every = list(counts.items())
+        for i in range(0, len(every), 50_000):
+            part = every[i : i + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in part], pa.string()), pa.array([k[1] for k, _ in part], pa.int32()), pa.array([n for _, n in part], pa.int64())], names=["gram", "cell", "n"])
+
+    cells = sample.mapInArrow(grams, "gram string, cell int, n long").groupBy("gram")
+    return cells.agg(*[F.sum(F.when(F.col("cell") == i, F.col("n")).otherwise(0)).cast("int").alias(f"c{i}") for i in range(2 * FOLDS)])
+
+
+def _shared(grams: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the n-grams, hashes of their contexts, and the continuation estimate of each n-gram's last symbol after its context without the first."""
+    size = np.fromiter(map(len, grams), np.int64, len(grams))
+    code = _codes("".join([g.rjust(ORDER, "\0") for g in grams])).reshape(-1, ORDER)
+    with np.errstate(over="ignore"):
+        # hashes[m]: the last m symbols; without the last one: before[m], for the m - 1 symbols before it.
+        hashes, before = {}, {}
+        for m in range(1, ORDER + 1):
+            h = np.zeros(len(grams), np.uint64)
+            for j in range(ORDER - m, ORDER - 1):
+                h = h * _STEP + code[:, j]
+            before[m], hashes[m] = h, h * _STEP + code[:, -1]
+    below: tuple[np.ndarray, np.ndarray] | None = None
+    estimates = np.zeros(len(grams))
+    for m in range(1, ORDER):
+        # Different n-grams of m + 1 symbols, by their last m: an n-gram of m symbols continues so many contexts.
+        longer = np.flatnonzero(size > m)
+        _, one = np.unique(hashes[m + 1][longer], return_index=True)
+        rows = longer[one]
+        known, where, n = np.unique(hashes[m][rows], return_index=True, return_counts=True)
+        context, group = np.unique(before[m][rows[where]], return_inverse=True)
+        total, kinds = np.bincount(group, weights=n), np.bincount(group)
+        up = np.full(len(known), 1 / max(len(known), 1)) if below is None else below[1][np.searchsorted(below[0], hashes[m - 1][rows[where]])]
+        p = (n - DISCOUNT + DISCOUNT * kinds[group] * up) / total[group]
+        below = (known, p)
+        own = np.flatnonzero(size == m + 1)
+        estimates[own] = p[np.searchsorted(known, hashes[m][own])]
+    whole = np.zeros(len(grams), np.uint64)
+    context = np.zeros(len(grams), np.uint64)
+    for m in range(2, ORDER + 1):
+        own = size == m
+        whole[own], context[own] = hashes[m][own], before[m][own]
+    return whole, context, estimates
+
+
+def _ratios(shared: tuple[np.ndarray, np.ndarray, np.ndarray], counts: np.ndarray) -> Ratios:
+    """The ratios for counts (ordinary, toxic) of the n-grams."""
+    whole, context, up = shared
+    contexts, group = np.unique(context, return_inverse=True)
+    sums = lambda x: np.stack([np.bincount(group, weights=x[:, i], minlength=len(contexts)) for i in (0, 1)], axis=1)
+    total, kinds = sums(counts), sums(counts > 0)
+    both, all_, of_both = counts.sum(axis=1), total.sum(axis=1), np.bincount(group, weights=counts.sum(axis=1) > 0, minlength=len(contexts))
+    s = (np.maximum(both - DISCOUNT, 0) + DISCOUNT * of_both[group] * up) / np.maximum(all_, 1)[group]
+    p = (np.maximum(counts - DISCOUNT, 0) + (DISCOUNT * kinds[group] + STRENGTH) * s[:, None]) / (total[group] + STRENGTH)
+    fall = np.log((DISCOUNT * kinds + STRENGTH) / (total + STRENGTH))
+    fall = (fall[:, 1] - fall[:, 0]).astype(np.float32)
+    step = np.where(both > 0, np.log(np.maximum(p[:, 1], 1e-300) / np.maximum(p[:, 0], 1e-300)), fall[group]).astype(np.float32)
+    order = np.argsort(whole)
+    return Ratios(whole[order], step[order], contexts, fall)
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic weights by Newton steps, with a small ridge."""
-    x = np.c_[x, np.ones(len(x))]
-    w = np.zeros(x.shape[1])
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        w += np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(len(w)), x.T @ (y - p) - w)
-    return w
+    """Logistic weights by Newton steps on standardised features, with a small ridge; given for the features as they are, the constant last."""
+    mean, spread = x.mean(axis=0), x.std(axis=0)
+    spread[spread < 1e-9] = 1
+    z = np.c_[(x - mean) / spread, np.ones(len(x))]
+    w = np.zeros(z.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        w += np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.eye(len(w)) * 0.01, z.T @ (y - p) - 0.01 * w)
+    return np.append(w[:-1] / spread, w[-1] - (w[:-1] * mean / spread).sum())
 
 
 class Model:
-    """Kept prefixes with their ratios, and the weights of the features."""
-
-    def __init__(self, kept: dict[str, float], weights: list[float]) -> None:
-        self.kept, self.weights = kept, weights
+    """Ratios, and the weights of the features."""
 
-    def scorer(self) -> Callable[[str | None], float]:
-        ratios, weights = Ratios(self.kept), self.weights
+    def __init__(self, ratios: Ratios, weights: np.ndarray) -> None:
+        self.ratios, self.weights = ratios, weights
 
-        def score(text: str | None) -> float:
-            z = sum(a * b for a, b in zip(ratios.features(text), weights, strict=False)) + weights[-1]
-            return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+    def scorer(self) -> Callable[[list[str | None]], np.ndarray]:
+        def score(texts: list[str | None]) -> np.ndarray:
+            z = self.ratios.features(texts) @ self.weights[:-1] + self.weights[-1]
+            return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
         return score
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN) -> Model:
-    """The model of the labelled training rows; what comes to the driver is bounded by ``max_train``."""
+    """The model of the labelled training rows; what comes to the driver is bounded by ``max_train``: the n-grams of those texts, and a row of features for each."""
     ids = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     h = F.xxhash64("doc_id")
     picked = [ids.where(F.col("toxic") == t).orderBy(h, "doc_id").limit(max_train) for t in (0, 1)]
@@ -168,41 +233,44 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # At most 2 * max_train ids.
     sample = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "_id")
 
-    every = _prefix_counts(sample)
-    total = sum((F.col(f"c{i}") for i in range(1, 2 * FOLDS)), F.col("c0"))
-    ordinary, toxic = (sum((F.col(f"c{i}") for i in range(t + 2, 2 * FOLDS, 2)), F.col(f"c{t}")) for t in (0, 1))
-    parents = every.where("length(prefix) > 1").groupBy(F.expr("left(prefix, length(prefix) - 1)").alias("prefix")).agg(F.count_if(ordinary > 0).alias("k0"), F.count_if(toxic > 0).alias("k1"), F.count("*").alias("k"))
-    table = every.where(total >= LEAST).join(parents, "prefix", "left").na.fill(0).toArrow()
-    prefixes = table.column("prefix").to_pylist()
-    cells = np.stack([table.column(f"c{i}").to_numpy() for i in range(2 * FOLDS)], axis=1).reshape(-1, FOLDS, 2) if prefixes else np.zeros((0, FOLDS, 2), np.int64)
-    kinds = np.stack([table.column(k).to_numpy() for k in ("k0", "k1", "k")], axis=1) if prefixes else np.zeros((0, 3), np.int64)
+    table = _gram_counts(sample).toArrow()
+    grams = table.column("gram").to_pylist()
+    cells = np.stack([table.column(f"c{i}").to_numpy() for i in range(2 * FOLDS)], axis=1).reshape(-1, FOLDS, 2) if grams else np.zeros((0, FOLDS, 2), np.int64)
     del table
     sums = cells.sum(axis=1)
-    if not prefixes or not sums[prefixes.index("^")].all():
+    if not grams or not sums.any(axis=0).all():
         share = ids.agg(F.avg("toxic")).first()[0] or 0.0
-        return Model({}, [0.0] * _FEATURES + [math.log(max(share, 1e-9) / max(1 - share, 1e-9)) if share else -30.0])
-    without = [_kept(prefixes, sums - cells[:, f], kinds) for f in range(FOLDS)]
+        none = np.zeros(0, np.uint64)
+        constant = math.log(max(share, 1e-9) / max(1 - share, 1e-9)) if share else -30.0
+        return Model(Ratios(none, none.astype(np.float32), none, none.astype(np.float32)), np.array([0.0] * _FEATURES + [constant]))
+    shared = _shared(grams)
+    del grams
+    without = [_ratios(shared, sums - cells[:, f]) for f in range(FOLDS)]
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
-        ratios = [Ratios(k) for k in without]
         for batch in small(batches):
             folds, marks, texts = (batch.column(c).to_pylist() for c in ("fold", "toxic", "text"))
-            yield pa.RecordBatch.from_arrays([pa.array([ratios[f].features(t) for f, t in zip(folds, texts, strict=True)], pa.list_(pa.float64())), pa.array(marks, pa.int32())], names=["x", "y"])
+            x = np.zeros((len(texts), _FEATURES))
+            for f, ratios in enumerate(without):
+                rows = [i for i, g in enumerate(folds) if g == f]
+                if rows:
+                    x[rows] = ratios.features([texts[i] for i in rows])
+            yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), pa.array(marks, pa.int32())], names=["x", "y"])
 
     fit = sample.mapInArrow(features, "x array<double>, y int").toArrow()
-    return Model(_kept(prefixes, sums, kinds), _fit(np.array(fit.column("x").to_pylist()), fit.column("y").to_numpy().astype(float)).tolist())
+    return Model(_ratios(shared, sums), _fit(np.array(fit.column("x").to_pylist()), fit.column("y").to_numpy().astype(float)))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
 
     def make():
-        one = model.scorer()
+        many = model.scorer()
 
         def fn(columns):
-            scores = [one(t) for t in columns[2]]
-            return [columns[0], columns[1], scores, [int(s >= threshold) for s in scores]]
+            scores = many(columns[2])
+            return [columns[0], columns[1], scores.tolist(), (scores >= threshold).astype(int).tolist()]
 
         return fn
 
@@ -215,8 +283,8 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
-        one = model.scorer()
+        many = model.scorer()
         for batch in small(batches):
-            yield batch.filter(pa.array([one(t) < threshold for t in batch.column(text_col).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array(many(batch.column(text_col).to_pylist()) < threshold, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -2,11 +2,14 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import struct
 import zlib
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -209,3 +212,70 @@ def test_toxicity_without_labels(spark):
     for none in (labels.limit(0), labels.withColumn("toxic", F.lit(0))):
         model = toxicity.train(frame(spark, docs), none)
         assert {r.predicted for r in toxicity.score(frame(spark, docs), model).collect()} == {0}
+
+
+def test_toxicity_model_equals_plain_counts():
+    """Steps of the model against Kneser-Ney estimates from dictionaries."""
+    rng = random.Random(5)
+    forms = list({"".join(rng.choices("abc", k=rng.randint(1, 12))) for _ in range(120)})
+    seen = [Counter({f: rng.randint(0, 3) for f in rng.sample(forms, 80)}) for _ in (0, 1)]
+    n, d, strength = toxicity.ORDER, toxicity.DISCOUNT, toxicity.STRENGTH
+    count = [Counter(), Counter()]
+    for c in (0, 1):
+        for f, k in seen[c].items():
+            s = f"\t{f}\n"
+            for i in range(2, len(s) + 1):
+                if k:
+                    count[c][s[max(0, i - n) : i]] += k
+    both = count[0] + count[1]
+    grams = sorted(both)
+    # An n-gram that is a suffix on several levels is counted once for each different symbol before it.
+    follows = {}
+    for g in {g[i:] for g in grams for i in range(len(g) - 1)}:
+        follows.setdefault(g[1:], set()).add(g[0])
+    continued = Counter({g: len(x) for g, x in follows.items()})
+    alphabet = sum(len(g) == 1 for g in continued)
+
+    def low(h, x):
+        up = low(h[1:], x) if h else 1 / alphabet
+        after = {g: k for g, k in continued.items() if len(g) == len(h) + 1 and g[:-1] == h}
+        return (max(continued[h + x] - d, 0) + d * len(after) * up) / sum(after.values()) if after else up
+
+    def step(h, x):
+        after = [{g: k for g, k in t.items() if g[:-1] == h} for t in (*count, both)]
+        if not after[2]:
+            return 0.0
+        shared = (max(both[h + x] - d, 0) + d * len(after[2]) * low(h[1:], x)) / sum(after[2].values())
+        p = [(max(t[h + x] - d, 0) + (d * len(a) + strength) * shared) / (sum(a.values()) + strength) for t, a in zip(count, after, strict=False)]
+        return math.log(p[1] / p[0]) if both[h + x] else math.log((d * len(after[1]) + strength) / (sum(after[1].values()) + strength) / (d * len(after[0]) + strength) * (sum(after[0].values()) + strength))
+
+    model = toxicity._ratios(toxicity._shared(grams), np.array([[count[0][g], count[1][g]] for g in grams]))
+    words = forms[:40] + ["abcabcabcabcabc", "x", "axb", "zz"]
+    want = []
+    for w in words:
+        s = f"\t{w}\n"
+        want.append(sum(step(s[max(0, i - n + 1) : i], s[i]) for i in range(1, len(s))))
+    assert model.of_forms(words) == pytest.approx(want, abs=1e-4)
+    assert model.of_forms(["", "a"])[0] == 0
+
+
+@pytest.mark.parametrize(("scale", "least"), [("0.01", 0.7), ("0.1", 0.9)])
+def test_toxicity_recall_on_held_out_rows(spark, scale, least):
+    """Held-out labelled rows. About one toxic label in twelve (more in the small table) marks a text without any toxic word, which bounds what can be found."""
+    folder = f"/root/testdata/sf{scale}"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    got = toxicity.score(docs, toxicity.train(docs, labels)).join(labels, "doc_id").where("held_out").groupBy("toxic").agg(F.avg("predicted").alias("share")).collect()
+    shares = {r.toxic: r.share for r in got}
+    assert shares[1] >= least and shares[0] <= 0.01
+
+
+def test_toxicity_edges(spark):
+    docs, labels = toxic_rows(spark)
+    model = toxicity.train(frame(spark, docs), labels)
+    assert toxicity.score(frame(spark, []), model).count() == 0 and toxicity.keep_clean(frame(spark, []), model).count() == 0
+    assert toxicity.train(frame(spark, []), labels).weights[:-1].any() == False  # noqa: E712
+    # The end of a long word counts as much as its start; very long and odd texts have scores.
+    long = model.ratios.of_forms(["x" * 500 + "blorkish", "x" * 500])
+    assert long[0] != long[1]
+    texts = ["blorky " * 100_000, "a" * 300_000, "\ud83d\ude42 \x00 ... !!!", "..."]
+    assert all(0 <= r.score <= 1 for r in toxicity.score(frame(spark, list(enumerate(texts))), model).collect())
