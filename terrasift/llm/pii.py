@@ -80,6 +80,12 @@ def _emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def _octet(part: str) -> bool:
+    """At most 255, whatever the number of leading zeros."""
+    part = part.lstrip("0") or "0"
+    return len(part) <= 3 and int(part) <= 255
+
+
 def _luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -92,7 +98,7 @@ def detect(text: str) -> list[Span]:
     """Base spans: leftmost non-overlapping matches of each kind that pass its check, by kind, then start."""
     out = [("email", s, e) for s, e in _emails(text)] if "@" in text else []
     if _DIGITS.search(text):
-        out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+        out += [("ip", *m.span()) for m in _IP.finditer(text) if all(map(_octet, m[0].split(".")))]
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 13 and 13 <= len(digits := m[0].replace(" ", "").replace("-", "")) <= 19 and _luhn(digits):
                 out.append(("card", *m.span()))

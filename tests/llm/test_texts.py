@@ -82,8 +82,13 @@ def test_spans_outgrow_their_stumps(text):
 
 
 def test_long_texts_take_linear_time():
-    for t in ("a" * 200_000 + "@", "1." * 100_000, "1" * 200_000, "+1" * 100_000, "[at]" * 50_000, "one " * 50_000, "a@" * 50_000):
+    for t in ("a" * 200_000 + "@", "1." * 100_000, "1" * 200_000, "+1" * 100_000, "[at]" * 50_000, "one " * 50_000, "a@" * 50_000, "zero " * 40_000 + ".1.1.1", "\u0660" * 30_000, "+(" * 50_000, "1-" * 60_000, "dot " * 40_000):
         pii.find(t)
+    # More digits than Python turns into one number at once.
+    for zeros in (1, 4_299, 5_000, 200_000):
+        assert pii.detect("0" * zeros + ".1.1.1") == [("ip", 0, zeros + 6)] and pii.detect("1" + "0" * zeros * 3 + ".1.1.1") == []
+        assert pii.mask("x " + "0" * zeros + ".1.1.1") == "x <ip>"
+    assert pii.find("\uff10" * 5_000 + ".1.1.1")[1] == [("ip", 0, 5_006)]
 
 
 def test_spans_frame(spark):
