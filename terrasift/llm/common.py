@@ -38,6 +38,14 @@ def bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def unused(name: str, *tables: DataFrame) -> str:
+    """The name, with underscores before it until no column of the tables is called so."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 #: What a Python worker keeps between tasks, by owner, and how to let it go.
 _held: dict[str, Callable[[], None]] = {}
 

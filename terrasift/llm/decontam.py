@@ -8,8 +8,11 @@ run of ``MIN_RUN`` words or more the placeholders must be filled consistently (e
 and the other way round): it is cut at each refilled placeholder that conflicts with another one of the run, and the longest piece must reach ``MIN_RUN``
 words. Literally equal words never conflict.
 
-Results: null or empty texts match nothing. Items shorter than ``MIN_RUN`` words are too general to be evidence and match nothing.
-A pair has one row however often it matches, with its longest template run, or its longest run in either way where no template run stands. Repeated rows count once; extra columns are ignored.
+An item shorter than ``MIN_RUN`` words has a template too general to be evidence; it matches where all its words stand literally in a row, which a hash join of
+windows of its length finds.
+
+Results: null or empty texts and items match nothing; an empty table gives no rows. A pair has one row however often it matches, with its longest template run, or its longest run in either way
+where no template run stands. Repeated rows count once; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
-from .common import bounded
+from .common import bounded, unused
 
 TILE = 7
 MIN_RUN = 2 * TILE - 1
@@ -69,14 +72,33 @@ def _flags(a: Column, test) -> Column:
     return F.array_join(F.transform(a, lambda x: F.when(test(x), F.lit("1")).otherwise(F.lit("0"))), "")
 
 
+def _short(source: DataFrame, items: DataFrame) -> DataFrame | None:
+    """Rows of ``matches`` for items of fewer than ``MIN_RUN`` words (item_id, item_ws); None where there are no such items."""
+    lengths = sorted(r.n for r in items.select(F.size("item_ws").alias("n")).distinct().collect())  # numbers below MIN_RUN
+    if not lengths:
+        return None
+    keys = items.select("item_id", "item_ws", plain(F.col("item_ws")).alias("item_p"))
+    keys = keys.withColumn("tile", F.xxhash64(F.size("item_p"), "item_p"))
+    p = F.col("p")
+
+    def windows(n: int) -> Column:
+        """Distinct hashes of the windows of n words."""
+        starts = F.when(F.size(p) >= n, F.sequence(F.lit(1), F.size(p) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.lit(n), F.slice(p, i, n))))
+
+    texts = source.where(F.col("doc_id").isNotNull()).select("doc_id", plain(words(F.col("text"))).alias("p"))
+    found = texts.select("doc_id", F.explode(F.concat(*map(windows, lengths))).alias("tile")).join(bounded(keys), "tile").distinct()
+    slots = F.size(F.array_distinct(F.filter(F.arrays_zip(template(F.col("item_ws")).alias("t"), "item_ws"), lambda x: F.startswith(x.t, F.lit("<")))))
+    size = F.size("item_ws").cast("long")
+    return found.select("doc_id", "item_id", size.alias("run_words"), size.alias("item_words"), slots.cast("long").alias("n_slots"), F.lit(0).cast("long").alias("n_refilled")).groupBy("doc_id", "item_id").agg(
+        *[F.max(c).alias(c) for c in ("run_words", "item_words", "n_slots", "n_refilled")]
+    )
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, run_words (longest run; one of templates goes first), item_words, n_slots (placeholders in the run), n_refilled (filled otherwise than in the item)."""
-    items = (
-        benchmark.select(F.col(item_col).cast("long").alias("item_id"), words(F.col(item_text)).alias("item_ws"))
-        .where(F.size("item_ws") >= MIN_RUN)
-        .withColumn("item_t", template(F.col("item_ws")))
-        .distinct()
-    )
+    every = benchmark.select(F.col(item_col).cast("long").alias("item_id"), words(F.col(item_text)).alias("item_ws")).where(F.size("item_ws") > 0).distinct()
+    items = every.where(F.size("item_ws") >= MIN_RUN).withColumn("item_t", template(F.col("item_ws")))
     both_ways = F.concat(_windows(F.col("item_t")), _windows(F.col("item_p")))
     windows = items.withColumn("item_p", plain(F.col("item_ws"))).select("item_id", F.inline(both_ways)).distinct()
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
@@ -121,10 +143,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     filled = runs.withColumn("slots", slots(F.slice("words", F.position(F.repeat(F.lit("1"), F.col("run")), F.col("held")), F.col("run")))).withColumn("n_slots", F.size("slots").cast("long"))
     refilled = F.size(F.filter("slots", lambda x: x.dw != x.iw)).cast("long")
     best = F.max(F.struct("typed", F.col("run").cast("long").alias("run"), (-refilled).alias("same_slots"), "n_slots", F.col("item_words").cast("long").alias("item_words")))
-    return filled.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", F.col("b.run").alias("run_words"), "b.item_words", "b.n_slots", (-F.col("b.same_slots")).alias("n_refilled"))
+    long = filled.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", F.col("b.run").alias("run_words"), "b.item_words", "b.n_slots", (-F.col("b.same_slots")).alias("n_refilled"))
+    short = _short(source, every.where(F.size("item_ws") < MIN_RUN))
+    return long if short is None else long.unionByName(short)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without a match, with all their columns; rows without an id or text stay."""
-    hit = checkpointed(matches(docs, benchmark, id_col).select(F.col("doc_id").alias("_hit")).distinct())
-    return docs.join(bounded(hit), docs[id_col] == F.col("_hit"), "left_anti")
+    hit = unused("_hit", docs)
+    found = checkpointed(matches(docs, benchmark, id_col, text_col).where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(hit)).distinct())
+    return docs.join(bounded(found), docs[id_col].cast("long") == F.col(hit), "left_anti")

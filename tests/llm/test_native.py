@@ -220,6 +220,34 @@ def test_decontamination_clean_keeps_the_rest(spark):
     assert decontam.clean(docs, bench).columns == docs.columns
 
 
+def test_decontamination_of_short_items(spark):
+    """Items of fewer words than a run: all of them, literally, in a row."""
+    rng = random.Random(9)
+    known = ["Alpha", "beta", "7", "km", "delta", "Epsilon"]
+    docs = [(i, " ".join(rng.choices(known, k=rng.randint(0, 30)))) for i in range(60)] + [(None, "Alpha beta"), (70, None), (71, "alpha, BETA"), (1, "beta 7")]
+    items = [(100 + n, " ".join(rng.choices(known, k=n))) for n in range(0, 5) for _ in (0, 1)] + [(7, "alpha beta"), (8, ", .")]
+    got = matches(spark, docs, items)
+    plain = lambda t: re.findall(r"\w+", (t or "").lower())
+    want = set()
+    for d, t in docs:
+        ws = plain(t)
+        for i, item in items:
+            iw = plain(item)
+            if d is not None and iw and any(ws[a : a + len(iw)] == iw for a in range(len(ws))):
+                want.add((d, i))
+    assert set(got) == want and (71, 7) in want
+    assert all(r.run_words == r.item_words and r.n_refilled == 0 for r in got.values())
+    mixed = matches(spark, [*docs, (90, f"x {ITEM} beta 7")], [(1, ITEM), (2, "beta 7")])
+    assert (90, 1) in mixed and (90, 2) in mixed
+
+
+def test_clean_with_clashing_names_and_empty_tables(spark):
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, ITEM, 1, 2, 3), (2, "other", 4, 5, 6)], "doc_id int, text string, _hit int, __hit long, tile int")
+    assert [tuple(r) for r in decontam.clean(docs, bench).collect()] == [(2, "other", 4, 5, 6)]
+    assert decontam.clean(docs.limit(0), bench).count() == 0 and decontam.clean(docs, bench.limit(0)).count() == 2
+
+
 def test_shuffled_joins_give_the_same(spark, monkeypatch):
     from terrasift.llm import common
 
