@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..operators.graph import components
 from ..session import checkpointed, release
 from .blocks import BLOCK_BYTES, REPLIES, Words, answered, blocked, expand, first, mix, parts, replies, rest, shard_bits, squeeze
-from .common import bounded, pieces, tidied, tidy
+from .common import bounded, pieces, tidied, tidy, unused
 
 SHINGLE = 5
 #: Similarity in percent.
@@ -243,11 +243,13 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The documents with one of each component: the row with its smallest id, once. Rows without words or id stay."""
     linked = link(docs, id_col=id_col, text_col=text_col).where("n_shingles > 0 AND doc_id IS NOT NULL")
     # Ids with a row to drop, or with several rows of one component.
-    ids = linked.groupBy(F.col("doc_id").alias("_id"), "component_id").agg(F.count("*").alias("rows"))
-    ids = checkpointed(ids.select("_id", (F.col("_id") != F.col("component_id")).alias("_copy"), (F.col("rows") > 1).alias("_again")).where("_copy OR _again"))
-    copies, again = ids.where("_copy").select("_id").distinct(), ids.where("_again").select("_id").distinct()
-    kept = docs.join(bounded(copies), docs[id_col] == F.col("_id"), "left_anti")
+    name = unused("_id", docs)
+    ids = linked.groupBy(F.col("doc_id").alias(name), "component_id").agg(F.count("*").alias("rows"))
+    ids = checkpointed(ids.select(name, (F.col(name) != F.col("component_id")).alias("copy"), (F.col("rows") > 1).alias("again")).where("copy OR again"))
+    copies, again = ids.where("copy").select(name).distinct(), ids.where("again").select(name).distinct()
+    same = lambda rows: rows[id_col].cast("long") == F.col(name)
+    kept = docs.join(bounded(copies), same(docs), "left_anti")
     if again.isEmpty():
         return kept
-    once = kept.join(bounded(again), kept[id_col] == F.col("_id"), "left_anti")
-    return once.unionByName(kept.join(bounded(again), kept[id_col] == F.col("_id"), "left_semi").dropDuplicates([id_col, text_col]))
+    once = kept.join(bounded(again), same(kept), "left_anti")
+    return once.unionByName(kept.join(bounded(again), same(kept), "left_semi").dropDuplicates([id_col, text_col]))

@@ -125,6 +125,13 @@ def test_representatives(spark):
     assert Counter(r.doc_id for r in kept.collect()) == want
 
 
+def test_representatives_with_clashing_names(spark):
+    words = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, words, 7, "a"), (2, words, 8, "b"), (3, "else", 9, "c")], "doc_id int, text string, _id int, __id string")
+    assert sorted(tuple(r) for r in jaccard.representatives(docs).collect()) == [(1, words, 7, "a"), (3, "else", 9, "c")]
+    assert jaccard.representatives(docs.limit(0)).count() == 0
+
+
 def brute_lm(rows):
     split = [(d, [*words(t, lower=True), "\n"]) for d, t in rows]
     held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in rows}
