@@ -165,11 +165,25 @@ def test_bpe_equals_library(spark, tokenizer):
     coder = bpe.Coder.shared(path, pattern)
     for text, parts in zip(texts, coder.encode(texts), strict=True):
         ids = [int(i) for p in parts for i in p[0].split(",")]
-        assert ids == library.encode_ordinary(text) and b"".join(p[2] for p in parts) == text.encode(), text[:50]
-        assert sum(p[1] for p in parts) == len(ids)
-    for n in (2, 50, 257, 2000):
-        word = "".join(random.Random(n).choices("abcdeéü", k=n)).encode()
-        assert coder.contract_long(word) == [int(i) for i in coder.encode_words([word])[0][0].split(",")]
+        assert ids == library.encode_ordinary(text) and "".join(p[1] for p in parts).encode("latin-1") == text.encode(), text[:50]
+    words = ["".join(random.Random(n).choices(letters, k=n)).encode() for letters in ("ab", "abcdeéü", "thequickbrownfox日本") for n in (2, 50, 129, 257, 2000)] + [b"a" * n for n in (129, 130, 255, 256, 1001)]
+    for word, (ids, decoded) in zip(words, coder.encode_words(words), strict=True):
+        assert [int(i) for i in ids.split(",")] == library._encode_single_piece(word) and decoded.encode("latin-1") == word
+
+
+def test_bpe_long_words_in_bounded_rounds(tokenizer, monkeypatch):
+    """Few rounds a query and many: the same tokens."""
+    path, pattern, library = tokenizer
+    coder = bpe.Coder.shared(path, pattern)
+    words = ["".join(random.Random(n).choices("aabcdeé", k=n)).encode() for n in (200, 333)] + [b"a" * 300, b"ab" * 150]
+    want = [library._encode_single_piece(w) for w in words]
+    plain = lambda: [[int(i) for i in ids.split(",")] for ids, _ in coder.encode_words(words)]
+    assert plain() == want
+    monkeypatch.setattr(bpe, "ROWS_A_QUERY", 5_000)
+    assert plain() == want
+    monkeypatch.undo()
+    word = "".join(random.Random(1).choices("etaoinshrdlu", k=20_000)).encode()
+    assert [int(i) for i in coder.encode_words([word])[0][0].split(",")] == library._encode_single_piece(word)
 
 
 def test_bpe_frames(spark, tokenizer):
