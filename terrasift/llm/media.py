@@ -1,11 +1,12 @@
 """ISO base media columns: pack payloads into containers, and read codec, duration and keyframe ranges from the boxes.
 
 ``pack`` stores a payload losslessly as 8-bit unsigned samples of one sound track. ``inspect`` walks the nested boxes of
-any such container and decodes the sample tables (stts, stsc, stsz, stco/co64, stss); it never looks into ``mdat``.
-``payload`` joins the chunks that the sample tables point to.
+any such container and decodes the sample tables (stts, stsc, stsz, stco/co64, stss) and the sample runs of fragments (tfhd, trun, with the
+defaults of trex); it never looks into ``mdat``. ``payload`` joins the chunks that these point to.
 
 Results: null text is empty, and still one frame of padding. Equal texts give equal bytes. Bytes that are no container,
-or whose boxes run past their parent, give null columns and an ``error``.
+or whose boxes run past their parent, give null columns and an ``error``; a fragment without its header or of an unknown track gives an ``error`` beside the rest.
+Repeated rows yield repeated results, an empty table none; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -109,11 +110,13 @@ def tracks(data: bytes) -> list[dict[str, Any]]:
     for path, body, end in boxes(data):
         kind = path[-1]
         if kind == b"trak":
-            out.append({"codec": None, "handler": None, "timescale": None, "duration": None, "deltas": [], "sizes": [], "runs": [], "offsets": [], "keys": None})
+            out.append({"id": None, "codec": None, "handler": None, "timescale": None, "duration": None, "deltas": [], "sizes": [], "runs": [], "offsets": [], "keys": None})
         if not out or b"trak" not in path:
             continue
         t = out[-1]
-        if kind == b"mdhd":
+        if kind == b"tkhd":
+            (t["id"],) = struct.unpack_from(">I", data, body + (20 if data[body] else 12))
+        elif kind == b"mdhd":
             version = data[body]
             t["timescale"], t["duration"] = struct.unpack_from(">IQ" if version else ">II", data, body + (20 if version else 12))
         elif kind == b"hdlr":
@@ -141,11 +144,74 @@ def tracks(data: bytes) -> list[dict[str, Any]]:
             for size in sizes:
                 t["samples"].append((at, size))
                 at += size
+    _add_fragments(data, out)
+    for t in out:
         if t["chunks"] and max(a + n for a, n in t["chunks"]) > len(data):
             raise ValueError("a chunk lies past the end")
     return out
 
 
+def _add_fragments(data: bytes, out: list[dict[str, Any]]) -> None:
+    """Sample runs of movie fragments go to their tracks; what can't be placed is named in each track's ``problem``."""
+    by_id, defaults, problem = {t["id"]: t for t in out}, {}, None
+    moof = head = None
+    for path, body, end in boxes(data):
+        kind = path[-1]
+        if kind == b"trex":
+            track, _, _, size, flags = struct.unpack_from(">5I", data, body + 4)
+            defaults[track] = (size, flags)
+        elif kind == b"moof":
+            wide = body >= 16 and data[body - 16 : body - 8] == b"\0\0\0\1moof"
+            moof = next_at = body - (16 if wide else 8)
+        elif kind == b"traf":
+            head = None
+            if not any(p[-1] == b"tfhd" for p, _, _ in boxes(data, body, end)):
+                problem = "fragmented: a track fragment without its header"
+        elif kind == b"tfhd" and path[-2:-1] == (b"traf",):
+            flags, track = struct.unpack_from(">II", data, body)
+            at, given = body + 8, {}
+            for bit, form in ((0x1, "Q"), (0x2, "I"), (0x8, "I"), (0x10, "I"), (0x20, "I")):
+                if flags & bit:
+                    (given[bit],) = struct.unpack_from(">" + form, data, at)
+                    at += struct.calcsize(">" + form)
+            size, mark = defaults.get(track, (0, 0))
+            head = {"track": by_id.get(track), "base": given.get(0x1, moof if flags & 0x20000 else next_at), "size": given.get(0x10, size), "flags": given.get(0x20, mark)}
+            head["at"] = head["base"]
+            if head["track"] is None:
+                problem = f"fragmented: a track fragment of the unknown track {track}"
+        elif kind == b"trun" and head is not None and head["track"] is not None:
+            flags, n = struct.unpack_from(">II", data, body)
+            flags &= 0xFFFFFF
+            at = body + 8
+            if flags & 0x1:
+                (offset,) = struct.unpack_from(">i", data, at)
+                head["at"] = head["base"] + offset
+                at += 4
+            first = None
+            if flags & 0x4:
+                (first,) = struct.unpack_from(">I", data, at)
+                at += 4
+            each = [bit for bit in (0x100, 0x200, 0x400, 0x800) if flags & bit]
+            if at + 4 * len(each) * n > end:
+                raise ValueError("a sample run is cut off")
+            t, start = head["track"], head["at"]
+            for i in range(n):
+                given = dict(zip(each, struct.unpack_from(f">{len(each)}I", data, at), strict=True))
+                at += 4 * len(each)
+                size = given.get(0x200, head["size"])
+                mark = first if first is not None and i == 0 else given.get(0x400, head["flags"])
+                if t["keys"] is None:
+                    t["keys"] = list(range(1, len(t["samples"]) + 1))
+                t["samples"].append((head["at"], size))
+                if not mark & 0x10000:
+                    t["keys"].append(len(t["samples"]))
+                head["at"] += size
+            t["chunks"].append((start, head["at"] - start))
+            next_at = head["at"]
+    for t in out:
+        t["problem"] = problem
+
+
 def payload(data: bytes, track: dict[str, Any]) -> bytes:
     """The bytes of a track's chunks, in order."""
     return b"".join([data[a : a + n] for a, n in track["chunks"]])
@@ -167,12 +233,11 @@ def _summary(t: dict[str, Any]) -> dict[str, Any]:
 
 def _columns(data: bytes | None) -> tuple:
     try:
-        found = [_summary(t) for t in tracks(data or b"")]
+        every = tracks(data or b"")
+        found = [_summary(t) for t in every]
         if not found:
             return (None,) * 6 + ("no track", None)
-        # Samples of movie fragments (trun, tfhd) are not decoded.
-        fragmented = any(path[-1] in (b"moof", b"mvex") for path, _, _ in boxes(data))
-        return (*found[0].values(), "fragmented: only samples outside of fragments are read" if fragmented else None, found)
+        return (*found[0].values(), every[0]["problem"], found)
     except (ValueError, struct.error) as e:
         return (None,) * 6 + (str(e), None)
 
@@ -187,17 +252,18 @@ def inspect(media: DataFrame, id_col: str, data_col: str) -> DataFrame:
 
 
 def media_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each text packed into a container and read back through its boxes, as sizes, digests and a feature string."""
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    """Each text packed into a container and read back through its boxes: sizes, digests, a feature string, codec, duration and the byte ranges of its key frames."""
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, codec string, duration long, keyframes " + _KEYFRAMES
 
     def one(text: bytes | None) -> tuple:
         stored = pack(text or b"")
         (t,) = tracks(stored)
         back, keys = payload(stored, t), key_ranges(t)
         feature = f"{t['codec']}|{t['duration']}/{t['timescale']}|{len(t['samples'])}|{len(keys)}|{keys[0][0]}-{keys[-1][1]}"
-        return len(text or b""), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), feature
+        ranges = [{"start": a, "end": b} for a, b in keys]
+        return len(text or b""), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), feature, t["codec"], t["duration"], ranges
 
     def make():
-        return lambda columns: [columns[0], *([list(c) for c in zip(*map(one, columns[1]), strict=True)] or [[]] * 7)]
+        return lambda columns: [columns[0], *([list(c) for c in zip(*map(one, columns[1]), strict=True)] or [[]] * 10)]
 
     return map_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("data")), schema, make)

@@ -137,6 +137,41 @@ def test_media_tracks_and_fragments(spark):
     assert len(got[2].tracks) == 1 and "fragmented" in got[2].error
 
 
+def test_media_fragments_are_decoded(spark):
+    """A file of two fragments, built by hand: sizes per sample, default sizes, sync marks, both ways to give an offset."""
+    movie = media.pack(b"abc")
+    path, body, end = next(b for b in media.boxes(movie) if b[0] == (b"moov",))
+    trex = media._box(b"mvex", media._full(b"trex", struct.pack(">5I", 1, 1, 10, 4, 0x10000)))
+    head = movie[: body - 8] + media._box(b"free", movie[body:end]) + movie[end:]
+    out = head + media._box(b"moov", movie[body:end], trex)
+    # The first samples stay where the moved tables point to.
+    one = lambda offset: media._box(b"moof", media._full(b"mfhd", struct.pack(">I", 1)), media._box(b"traf", media._full(b"tfhd", struct.pack(">I", 1), flags=0x20000), media._full(b"trun", struct.pack(">IiI", 3, offset, 0), struct.pack(">3I", 5, 6, 7), flags=0x1 | 0x4 | 0x200)))
+    first = len(out) + len(one(0)) + 8
+    out += one(len(one(0)) + 8) + media._box(b"mdat", b"A" * 18)
+    base = len(out)
+    two = lambda at: media._box(b"moof", media._box(b"traf", media._full(b"tfhd", struct.pack(">IQ", 1, at), flags=0x1), media._full(b"trun", struct.pack(">I", 2), struct.pack(">2I", 0x10000, 0), flags=0x400), media._full(b"trun", struct.pack(">I", 1), flags=0)))
+    second = base + len(two(0)) + 8
+    out += two(second) + media._box(b"mdat", b"B" * 12)
+    (t,) = media.tracks(out)
+    assert t["samples"][1:] == [(first, 5), (first + 5, 6), (first + 11, 7), (second, 4), (second + 4, 4), (second + 8, 4)]
+    assert media.key_ranges(t)[1:] == [(first, first + 5), (second + 4, second + 8)]
+    assert media.payload(out, t) == media.pad(b"abc") + b"A" * 18 + b"B" * 12
+    unknown = media._box(b"moof", media._box(b"traf", media._full(b"tfhd", struct.pack(">I", 9))))
+    got = {r.id: r for r in media.inspect(spark.createDataFrame([(1, out), (2, out + unknown)], "id long, data binary"), "id", "data").collect()}
+    assert got[1].error is None and got[1].n_samples == 7 and "unknown track 9" in got[2].error
+
+
+def test_media_digest_keyframes(spark):
+    """Key frames by plain arithmetic: the payload ends the file, and each KEY_EVERY-th frame of it is one."""
+    texts = ["", "x" * 191, "é" * 5_000, "word " * 20_000]
+    for r in media.media_digest(frame(spark, list(enumerate(texts)))).collect():
+        frames = range(0, r.payload_bytes // media.FRAME, media.KEY_EVERY)
+        start = r.media_bytes - r.payload_bytes
+        assert [(k.start, k.end) for k in r.keyframes] == [(start + i * media.FRAME, start + (i + 1) * media.FRAME) for i in frames]
+        assert (r.codec, r.duration) == ("raw ", r.payload_bytes)
+    assert media.media_digest(frame(spark, [])).count() == 0 and media.inspect(spark.createDataFrame([], "id long, data binary"), "id", "data").count() == 0
+
+
 def test_media_digest(spark):
     rows = [(1, "é" * 300), (2, "é" * 300), (3, None), (4, ""), (4, "")]
     got = {r.doc_id: r for r in media.media_digest(frame(spark, rows)).collect()}
