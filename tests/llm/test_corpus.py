@@ -174,11 +174,29 @@ def test_elias_fano_levels(tmp_path):
     rng = np.random.default_rng(4)
     for n, top in ((1, 5), (1000, 1 << 20), (5000, (1 << 62) - 1), (300, 310)):
         values = np.unique(rng.integers(0, top, n, dtype=np.uint64))
-        level = trie.EliasFano(tmp_path, f"l{n}", *trie.EliasFano.write(tmp_path, f"l{n}", values))
-        assert (level.at(np.arange(len(values))) == values).all()
-        asked = np.concatenate([values, values + np.uint64(1), rng.integers(0, top, 500, dtype=np.uint64), np.array([0, top, (1 << 63) - 1], np.uint64)])
-        assert (level.successor(asked) == np.searchsorted(values, asked)).all()
-        assert ((level.find(asked) >= 0) == np.isin(asked, values)).all()
+        for level in (trie.EliasFano(values), trie.EliasFano(values, tmp_path, f"l{n}")):
+            assert (level.at(np.arange(len(values))) == values).all()
+            asked = np.concatenate([values, values + np.uint64(1), rng.integers(0, top, 500, dtype=np.uint64), np.array([0, top, (1 << 63) - 1], np.uint64)])
+            assert (level.successor(asked) == np.searchsorted(values, asked)).all()
+            assert ((level.find(asked) >= 0) == np.isin(asked, values)).all()
+
+
+def test_trie_holds_exactly_its_entries():
+    """Dense contexts, words that differ in their last bit, and levels that stay packed."""
+    rng = np.random.default_rng(7)
+    contexts, words = np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64)), np.arange(5_000, dtype=np.uint64) + np.uint64((1 << 56) - 5_000)
+    key = np.unique(rng.integers(0, len(contexts) * len(words), 200_000))
+    number, word = np.divmod(key, len(words))
+    t = trie.Trie(contexts, words, number, word, rng.random(len(key)) * 0.9 + 0.05)
+    assert (t.branching(contexts) == np.bincount(number, minlength=len(contexts))).all() and t.branching(contexts + np.uint64(1)).sum() == 0
+    for i in (0, 17, 299):
+        there = t.lookup(contexts[i : i + 1], np.array([len(words)]), words) != trie.ABSENT
+        assert (np.flatnonzero(there) == word[number == i]).all()
+    assert (t.lookup(contexts[:1], np.array([3]), np.array([0, 1, 2], np.uint64)) == trie.ABSENT).all()
+    level = t.levels["successors"]
+    assert level.low.nbytes + level.high.nbytes + level.ones.nbytes < 2 * len(key)
+    empty = trie.Trie(contexts[:0], words[:0], key[:0], key[:0], np.zeros(0))
+    assert empty.lookup(contexts[:2], np.array([1, 1]), words[:2]).tolist() == [trie.ABSENT] * 2 and empty.branching(contexts[:2]).sum() == 0
 
 
 def test_quantised_probabilities():
