@@ -1,6 +1,6 @@
 """Documents in bounded blocks, and exchanges of keys between blocks and shards.
 
-A block holds the documents of one hash class of ids and is sized by bytes. Its words become integers once and everything
+A block holds the documents of one hash class and is sized by measured bytes. Its words become integers once and everything
 else is array work. What a block must learn about the whole corpus it asks by key: each block sends its distinct keys,
 sorted and packed, to the shards that own them; a shard answers in the order of the question. A key held by every document
 thus meets its shard once per block, whatever its frequency, and no group of rows grows with the number of copies.
@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import let_go, pieces
+from .common import let_go
 
-#: Input bytes of a block, and of what a shard gets.
-BLOCK_BYTES = 10 << 20
+#: Text bytes of a block.
+BLOCK_BYTES = 18 << 20
 MESSAGES = "shard int, block int, keys binary, extra binary"
 REPLIES = "block int, shard int, reply binary"
 
@@ -31,16 +31,52 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def blocked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(block, doc_id, text as UTF-8), partitioned by block."""
-    n = pieces(docs, BLOCK_BYTES)
+def block_count(docs: DataFrame, text_col: str) -> int:
+    """Number of blocks of about ``BLOCK_BYTES`` that hold the texts, by their measured length."""
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")) + 16).alias("n")).first()[0] or 0
+    return max(1, -(-int(size) // BLOCK_BYTES))
+
+
+def _hash_of_int(values: np.ndarray) -> np.ndarray:
+    """The engine's hash of 32-bit integers (Murmur3, seed 42), by which it deals rows to partitions."""
+    rotate = lambda x, k: (x << np.uint32(k)) | (x >> np.uint32(32 - k))
+    with np.errstate(over="ignore"):
+        h = np.uint32(42) ^ (rotate(values.astype(np.uint32) * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593))
+        h = (rotate(h, 13) * np.uint32(5) + np.uint32(0xE6546B64)) ^ np.uint32(4)
+        h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+        h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+        return (h ^ (h >> np.uint32(16))).view(np.int32)
+
+
+#: Most blocks that get names of their own choice; beyond it blocks fall on partitions by chance, a few on each.
+NAMED_BLOCKS = 10_000
+
+
+def block_names(n: int) -> list[int]:
+    """Names of n blocks that the engine deals to n different partitions, one each, so no task has several blocks."""
+    if n > NAMED_BLOCKS:
+        return list(range(n))
+    out, found, start = np.full(n, -1, np.int64), 0, 0
+    while found < n:
+        tried = np.arange(start, start + 8 * n + 64)
+        place, first_ = np.unique(_hash_of_int(tried) % n, return_index=True)
+        free = out[place] < 0
+        out[place[free]] = tried[first_[free]]
+        found, start = int((out >= 0).sum()), start + len(tried)
+    return out.tolist()
+
+
+def blocked(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
+    """(block, doc_id, text as UTF-8) in n blocks, partitioned by block. Rows are dealt by id and text, so neither null nor repeated ids pile up."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    return rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("block"), "doc_id", "text").repartition(n, "block")
+    number = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")
+    name = F.element_at(F.array(*map(F.lit, block_names(n))), number + 1) if 1 < n <= NAMED_BLOCKS else number
+    return rows.select(name.cast("int").alias("block"), "doc_id", "text").repartition(n, "block")
 
 
-def shard_bits(docs: DataFrame) -> int:
-    """log2 of the number of shards."""
-    return max(2, (2 * pieces(docs, BLOCK_BYTES) - 1).bit_length())
+def shard_bits(n: int) -> int:
+    """log2 of the number of shards beside n blocks."""
+    return max(2, (2 * n - 1).bit_length())
 
 
 class Words:

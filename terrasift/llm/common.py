@@ -11,24 +11,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Stands for "size unknown" in Catalyst's statistics (any larger figure is a default, not a measure).
-_UNKNOWN_BYTES = 1 << 50
-
-
-def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` without running a job; None where it has none."""
-    n = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return None if n >= _UNKNOWN_BYTES else n
-
-
-def pieces(df: DataFrame, target_bytes: int) -> int:
-    """Number of bounded pieces that ``df`` should be worked on in, from its estimated size."""
-    n = plan_bytes(df)
-    if n is None:
-        return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return max(1, -(-n // target_bytes))
-
-
 #: Most rows of a key table that is broadcast; beyond it the same join is a shuffle.
 BROADCAST_ROWS = 500_000
 

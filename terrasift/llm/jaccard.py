@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import components
 from ..session import checkpointed, release
-from .blocks import BLOCK_BYTES, REPLIES, Words, answered, blocked, expand, first, mix, parts, replies, rest, shard_bits, squeeze
-from .common import bounded, pieces, tidied, tidy, unused
+from .blocks import REPLIES, Words, answered, block_count, blocked, expand, first, mix, parts, replies, rest, shard_bits, squeeze
+from .common import bounded, tidied, tidy, unused
 
 SHINGLE = 5
 #: Similarity in percent.
@@ -183,16 +183,17 @@ def _overlap_bound(a: str, b: str) -> Column:
 
 def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    bits = shard_bits(docs)
+    n = block_count(docs, text_col)
     # Everything below is smaller than the documents, so their number of blocks keeps its pieces small too.
-    few = max(8, pieces(docs, BLOCK_BYTES))
-    rows = checkpointed(_documents(docs, size, percent, id_col, text_col, bits))
+    few = max(8, n)
+    rows = checkpointed(_documents(docs, size, percent, id_col, text_col, n))
     release(docs.sparkSession)
     return _components(rows, percent, few)
 
 
-def _documents(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str, bits: int) -> DataFrame:
-    blocks = blocked(docs, id_col, text_col).groupBy("block")
+def _documents(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str, n: int) -> DataFrame:
+    bits = shard_bits(n)
+    blocks = blocked(docs, id_col, text_col, n).groupBy("block")
     answers = blocks.applyInArrow(tidied(lambda t: _ask(t, size, bits)), MESSAGES).groupBy("shard").applyInArrow(tidied(_answer), REPLIES)
     return blocks.cogroup(answers.groupBy("block")).applyInArrow(tidied(lambda a, b: _rows(a, b, size, percent, bits)), _ROWS)
 

@@ -18,8 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import MESSAGES, Words, answered, blocked, expand, first, messages, mix, parts, rest, shard_bits, squeeze
-from .common import pieces
+from .blocks import MESSAGES, NAMED_BLOCKS, Words, answered, block_count, block_names, blocked, expand, first, messages, mix, parts, rest, shard_bits, squeeze
 from .trie import WORD_BITS, Trie, restore
 
 DISCOUNT = 0.75
@@ -218,8 +217,9 @@ def _score(left: pa.Table, right: pa.Table, bits: int) -> pa.Table:
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    bits, n_blocks = shard_bits(docs), pieces(docs, 10 << 20)
-    blocks = blocked(docs, id_col, text_col).groupBy("block")
+    n_blocks = block_count(docs, text_col)
+    bits = shard_bits(n_blocks)
+    blocks = blocked(docs, id_col, text_col, n_blocks).groupBy("block")
     one = blocks.applyInArrow(lambda t: _ask_unigrams(t, bits), MESSAGES).groupBy("shard").applyInArrow(_answer_unigrams, REPLY)
     two = (
         blocks.cogroup(one.where("block >= 0").groupBy("block"))
@@ -229,6 +229,6 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
     # The corpus totals: one row for each block.
     totals = one.where("block < 0").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).where("n IS NOT NULL")
-    totals = totals.select(F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), F.lit(0).alias("shard"), F.lit(None).cast("binary").alias("reply"), "n", "v", F.lit(0).alias("round"))
+    totals = totals.select(F.explode(F.array(*map(F.lit, block_names(n_blocks))) if n_blocks <= NAMED_BLOCKS else F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), F.lit(0).alias("shard"), F.lit(None).cast("binary").alias("reply"), "n", "v", F.lit(0).alias("round"))
     replies = one.where("block >= 0").unionByName(two).unionByName(totals)
     return blocks.cogroup(replies.groupBy("block")).applyInArrow(lambda a, b: _score(a, b, bits), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

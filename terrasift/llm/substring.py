@@ -7,7 +7,8 @@ shift. Anchors that occur once in the corpus end the search there; around the ot
 compared by hash in a second exchange.
 
 Results: null text has no words. Windows are judged on the input. Repeated rows count as other occurrences of each other, and
-each yields a row. Extra columns are ignored. Keys are hashes of 62 and more bits; the window hash decides after the anchor hash.
+each yields a row. Extra columns are ignored. An anchor is asked by 40 bits beside those of its shard, a window by 56: a wrong
+removal needs both to collide. Null and empty texts have no words and keep an empty text; an empty table gives no rows; extra columns may have any name.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import MESSAGES, REPLIES, Words, among, answered, blocked, first, repeat_answers, repeat_questions, repeated, shard_bits
+from .blocks import MESSAGES, REPLIES, Words, among, answered, block_count, blocked, first, repeat_answers, repeat_questions, repeated, shard_bits
 
 WINDOW = 35
 # Perfect difference sets by period.
@@ -68,8 +69,9 @@ def _extend(table: pa.Table, got: dict[int, bytes], window: int, bits: int) -> t
 
 def mark(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept (the words that stay, joined by one space) of every row."""
-    bits = shard_bits(docs)
-    source = blocked(docs, id_col, text_col)
+    n = block_count(docs, text_col)
+    bits = shard_bits(n)
+    source = blocked(docs, id_col, text_col, n)
     blocks = source.groupBy("block")
 
     def windows(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -205,6 +205,18 @@ def test_quantised_probabilities():
     assert trie.restore(np.array([trie.ABSENT], np.uint8))[0] == 0
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 49, 300])
+def test_each_block_has_its_own_partition(spark, n):
+    names = blocks.block_names(n)
+    assert len(set(names)) == n
+    table = spark.createDataFrame([(b,) for b in names], "block int").repartition(n, "block").selectExpr("spark_partition_id() AS p")
+    assert table.distinct().count() == n
+    # Null and repeated ids are dealt too.
+    rows = [(None, f"text {i}") for i in range(2_000)] + [(7, f"text {i}") for i in range(2_000)]
+    sizes = [r["count"] for r in blocks.blocked(frame(spark, rows), "doc_id", "text", n).groupBy("block").count().collect()]
+    assert len(sizes) == n and max(sizes) < 3 * 4_000 / n + 20
+
+
 def test_window_hashes_depend_on_words_only():
     w = blocks.Words([b"a b c d e", b"x a b c d e y"], lower=False)
     h = w.windows(5)
