@@ -2,9 +2,10 @@
 
 A document's row of the incidence matrix is its set of word shingles. Columns are ordered by rising document frequency, counted over all
 documents. A pair of similarity t must share a column among the first ``n - ceil(t n) + 1`` of either row (the size-derived bound), so only those entries
-are multiplied, and only columns that more than one row holds. Rows of equal sets are one row from the start, and columns with equal rows one
-column. Inside a column, products of rows that a link already joins are not formed: first every row meets one pivot at a time, then what is left meets in
-all pairs that sizes allow. Each surviving pair has its overlap counted over the whole rows.
+say which cells of the product can reach t, and only columns that more than one row holds. Rows of equal sets are one row from the start, and columns with equal rows one
+column. Inside a column, cells of rows that a link already joins are not formed: first every row meets one pivot at a time, then what is left meets in
+all pairs that sizes allow, in blocks of rows. The cells that stand are multiplied: their overlap counts add up over blocks of columns of the whole rows, and a cell goes as soon as
+its count can't reach the bound that the two sizes ask for. No count is estimated.
 
 Results: words are split at ASCII white space and lower-cased in A-Z. A text of fewer words than a shingle has is one shingle; null or wordless
 texts have none and are linked with nothing. Rows of equal text share a component, repeated rows too. ``component_id`` is the smallest id reached;
@@ -28,6 +29,12 @@ SHINGLE = 5
 PERCENT = 80
 SKETCH_BYTES, SET_BYTES = 4, 6
 PIVOT_ROUNDS = 2
+#: log2 of the blocks of columns that overlaps are summed over.
+COLUMN_BITS = 3
+#: Entries of the rows of pairs that are multiplied at once, about.
+ENTRIES_AT_ONCE = 2_000_000
+#: Rows of a column that one task takes; longer columns are dealt over several.
+COLUMN_ROWS = 512
 #: log2 of the parts of the hash range in which core sizes are compared.
 PROFILE_BITS = 6
 MESSAGES = "shard int, block int, keys binary, sets binary, ids binary"
@@ -161,14 +168,62 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def count(batches):
         for batch in batches:
-            keep = []
-            for na, sa, nb, sb in zip(*[batch.column(c).to_pylist() for c in ("na", "sa", "nb", "sb")], strict=True):
-                both = len(np.intersect1d(expand(sa, SET_BYTES), expand(sb, SET_BYTES), assume_unique=True))
-                keep.append(100 * both >= percent * (na + nb - both))
+            columns = [batch.column(c) for c in ("a", "na", "sa", "b", "nb", "sb")]
+            keep = np.zeros(batch.num_rows, bool)
+            sizes = columns[1].to_numpy() + columns[4].to_numpy()
+            # Cells of the product in groups of bounded size; the pair number has 15 bits beside a shingle's 48.
+            ends = np.searchsorted(np.cumsum(sizes), np.arange(ENTRIES_AT_ONCE, int(sizes.sum()) + ENTRIES_AT_ONCE, ENTRIES_AT_ONCE), "right")
+            cuts = np.unique(np.concatenate([[0], ends, np.arange(0, batch.num_rows, 1 << 15), [batch.num_rows]]))
+            for start, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                keep[start:end] = _cells(*[c.slice(start, end - start) for c in columns], percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
         tidy(cycles=False)
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "sa", "nb", "sb").mapInArrow(count, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "na", "sa", "b", "nb", "sb").mapInArrow(count, "a long, b long")
+
+
+def _side(names: pa.Array, data: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of each pair's row, the shingles of all different rows in order, and where a row's shingles of each block of columns start."""
+    names = names.to_numpy()
+    known, first_, number = np.unique(names, return_index=True, return_inverse=True)
+    rows = [expand(data[i].as_py(), SET_BYTES) for i in first_.tolist()]
+    flat = np.concatenate(rows)
+    starts = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    blocks = (flat >> np.uint64(8 * SET_BYTES - COLUMN_BITS)).astype(np.int64) + np.repeat(np.arange(len(rows)) << COLUMN_BITS, np.diff(starts))
+    # Row-major order of (row, block), so one search finds all starts; the last entry ends the last block.
+    return number, flat, np.searchsorted(blocks, np.arange((len(rows) << COLUMN_BITS) + 1))
+
+
+def _taken(number: np.ndarray, alive: np.ndarray, flat: np.ndarray, starts: np.ndarray, block: int) -> np.ndarray:
+    """(pair, shingle) entries of one block of columns for the pairs that are alive, in order."""
+    at = (number[alive] << COLUMN_BITS) + block
+    begin, size = starts[at], starts[at + 1] - starts[at]
+    place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin, size)
+    return (np.repeat(alive, size).astype(np.uint64) << np.uint64(8 * SET_BYTES)) | flat[place]
+
+
+def _cells(a: pa.Array, na: pa.Array, sa: pa.Array, b: pa.Array, nb: pa.Array, sb: pa.Array, percent: int) -> np.ndarray:
+    """Which cells (a, b) of the product reach the similarity.
+
+    Overlaps are summed over blocks of columns (ranges of the shingle hash). After each block a cell goes whose sum, even if all that is left of the smaller
+    row were shared, stays below the overlap that the two sizes ask for.
+    """
+    na, nb = na.to_numpy(), nb.to_numpy()
+    need = -(-percent * (na + nb) // (100 + percent))
+    left, right = _side(a, sa), _side(b, sb)
+    overlap, alive = np.zeros(len(na), np.int64), np.flatnonzero(np.minimum(na, nb) >= need)
+    for block in range(1 << COLUMN_BITS):
+        if not len(alive):
+            break
+        both = np.concatenate([_taken(left[0], alive, left[1], left[2], block), _taken(right[0], alive, right[1], right[2], block)])
+        both.sort(kind="stable")  # two ordered runs
+        same = both[1:][both[1:] == both[:-1]]
+        overlap += np.bincount((same >> np.uint64(8 * SET_BYTES)).astype(np.int64), minlength=len(na))
+        rest_of = lambda side: side[2][(side[0][alive] + 1) << COLUMN_BITS] - side[2][(side[0][alive] << COLUMN_BITS) + block + 1]  # noqa: E731, B023
+        alive = alive[overlap[alive] + np.minimum(rest_of(left), rest_of(right)) >= need[alive]]
+    keep = np.zeros(len(na), bool)
+    keep[alive] = overlap[alive] >= need[alive]
+    return keep
 
 
 def _near(n: str, m: str, core: Column, percent: int) -> Column:
@@ -205,9 +260,12 @@ def _components(rows: DataFrame, percent: int, few: int) -> DataFrame:
     # the rest of the row (its core) bounds every overlap; entries of rows that even the smallest row of the column is too large for go.
     entries = rows.where("prefix IS NOT NULL").select("node", "n", "core", F.explode("prefix").alias("key"))
     kinds = entries.groupBy("key").agg(F.count("*").alias("rows"), F.min("n").alias("m"), F.expr("bit_xor(xxhash64(node))").alias("x"), F.expr("bit_xor(xxhash64(node, 1))").alias("y")).where("rows > 1")
-    kept = kinds.groupBy("rows", "x", "y").agg(F.min_by(F.struct("key", "m"), "key").alias("k")).select("k.*")
+    kept = kinds.groupBy("rows", "x", "y").agg(F.min_by(F.struct("key", "m", "rows"), "key").alias("k")).select("k.*")
+    kept = checkpointed(kept.select("key", "m", F.ceil(F.col("rows") / COLUMN_ROWS).cast("int").alias("parts")), few)
+    # A long column is dealt over several tasks by its rows; there are fewer such columns than entries / COLUMN_ROWS.
+    dealt = entries.join(bounded(kept.where("parts > 1").select("key", "parts")), "key", "left").withColumn("part", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
     profiles = rows.where("shingles IS NOT NULL").select("node", "profile")
-    entries = checkpointed(entries.join(kept, "key").where(_near("n", "m", F.col("core"), percent)).drop("m", "core").join(profiles, "node"), few)
+    entries = checkpointed(dealt.join(_each_part(kept), ["key", "part"]).where(_near("n", "m", F.col("core"), percent)).drop("m", "core").join(profiles, "node"), few)
 
     links = None
     core = F.aggregate("profile", F.lit(0), lambda x, y: x + y)
@@ -216,15 +274,16 @@ def _components(rows: DataFrame, percent: int, few: int) -> DataFrame:
         # First the row with the least of its own meets the others, then rows by chance.
         order = ((F.col("n") - core) / F.col("n")) if step == 0 else F.xxhash64("node", F.lit(step)).cast("double")
         pivot = F.min(F.struct(order.alias("o"), "node", "n", "profile", "component")).alias("p")
-        spread = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), pivot).where("low <> high")
+        spread = now.groupBy("key").agg(F.max("parts").alias("parts"), F.min("component").alias("low"), F.max("component").alias("high"), pivot).where("low <> high")
         if step < PIVOT_ROUNDS:
-            met = now.join(spread.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"), F.col("p.profile").alias("pivot_profile"), F.col("p.component").alias("other")), "key")
+            met = now.drop("parts").join(_each_part(spread).select("key", "part", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"), F.col("p.profile").alias("pivot_profile"), F.col("p.component").alias("other")), ["key", "part"])
             met = met.where((F.col("other") != F.col("component")) & _near("n", "m", _overlap_bound("profile", "pivot_profile"), percent)).groupBy("node", "pivot").agg(F.count("*").alias("shared"))
             pairs = met.groupBy("node").agg(F.max(F.struct("shared", "pivot")).alias("best")).select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
         else:
-            left = now.join(spread.select("key"), "key", "left_semi")
-            right = left.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("profile").alias("other_profile"), F.col("component").alias("other"))
-            pairs = left.join(right, "key").where((F.col("component") < F.col("other")) & _near("n", "m", _overlap_bound("profile", "other_profile"), percent)).select(F.col("node").alias("a"), "b").distinct()
+            left = now.join(_each_part(spread).select("key", "part"), ["key", "part"], "left_semi")
+            # Blocks of rows of a column: each part of it meets all of it.
+            right = _each_part(left.drop("part")).select("key", "part", F.col("node").alias("b"), F.col("n").alias("m"), F.col("profile").alias("other_profile"), F.col("component").alias("other"))
+            pairs = left.join(right, ["key", "part"]).where((F.col("component") < F.col("other")) & _near("n", "m", _overlap_bound("profile", "other_profile"), percent)).select(F.col("node").alias("a"), "b").distinct()
         found = _linked(pairs, sets, percent)
         links = checkpointed(found if links is None else links.unionByName(found), few)
         release(rows.sparkSession)
@@ -236,8 +295,13 @@ def _components(rows: DataFrame, percent: int, few: int) -> DataFrame:
     return rows.select("doc_id", F.col("n").alias("n_shingles"), "node", "least_id").join(labels, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "least_id").alias("component_id"))
 
 
+def _each_part(columns: DataFrame) -> DataFrame:
+    """Rows of columns once for each part that the column is dealt over."""
+    return columns.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+
+
 def _labelled(entries: DataFrame, names: DataFrame) -> DataFrame:
-    return entries.join(names, "node", "left").select("key", "node", "n", "profile", F.coalesce("component", "node").alias("component"))
+    return entries.join(names, "node", "left").select("key", "part", "parts", "node", "n", "profile", F.coalesce("component", "node").alias("component"))
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -96,6 +96,33 @@ def near_group(n, size, edits, seed):
     return rows
 
 
+def test_product_cells_equal_set_overlaps():
+    """Blocks of columns, repeated rows, rows of one shingle, and similarities at the bound."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    pool = np.unique(rng.integers(0, 1 << 48, 400, dtype=np.uint64))
+    sets = [np.sort(rng.choice(pool, rng.integers(1, 200), replace=False)) for _ in range(20)]
+    sets += [np.sort(np.delete(sets[i % 20], slice(0, k))) for i, k in enumerate((1, 2, 5, 20, 40) * 4) if len(sets[i % 20]) > k]
+    sets += [pool[:100], pool[:80], pool[:79], pool[20:120], pool[:1]]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(len(sets)) if i < j]
+    a, b = (np.array(x) for x in zip(*pairs, strict=True))
+    data = [blocks.squeeze(x, jaccard.SET_BYTES) for x in sets]
+    arrays = lambda x: (pa.array(x, pa.int64()), pa.array([len(sets[i]) for i in x], pa.int64()), pa.array([data[i] for i in x], pa.binary()))
+    got = jaccard._cells(*arrays(a), *arrays(b), 80)
+    want = []
+    for i, j in pairs:
+        both = len(np.intersect1d(sets[i], sets[j]))
+        want.append(100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both))
+    assert got.tolist() == want and 0 < sum(want) < len(want)
+
+
+def test_jaccard_deals_long_columns(spark, block_bytes, monkeypatch):
+    monkeypatch.setattr(jaccard, "COLUMN_ROWS", 3)
+    monkeypatch.setattr(jaccard, "ENTRIES_AT_ONCE", 50)
+    test_jaccard_equals_brute_force(spark, block_bytes, 6)
+
+
 def test_jaccard_on_a_group_of_near_copies(spark):
     rows = near_group(120, 120, 7, 5)
     assert Counter(map(tuple, jaccard.link(frame(spark, rows, extra=False)).collect())) == brute_components(rows)
