@@ -260,10 +260,10 @@ def _components(rows: DataFrame, percent: int, few: int) -> DataFrame:
     # the rest of the row (its core) bounds every overlap; entries of rows that even the smallest row of the column is too large for go.
     entries = rows.where("prefix IS NOT NULL").select("node", "n", "core", F.explode("prefix").alias("key"))
     kinds = entries.groupBy("key").agg(F.count("*").alias("rows"), F.min("n").alias("m"), F.expr("bit_xor(xxhash64(node))").alias("x"), F.expr("bit_xor(xxhash64(node, 1))").alias("y")).where("rows > 1")
-    kept = kinds.groupBy("rows", "x", "y").agg(F.min_by(F.struct("key", "m", "rows"), "key").alias("k")).select("k.*")
-    kept = checkpointed(kept.select("key", "m", F.ceil(F.col("rows") / COLUMN_ROWS).cast("int").alias("parts")), few)
+    kinds = checkpointed(kinds.withColumn("parts", F.ceil(F.col("rows") / COLUMN_ROWS).cast("int")), few)
+    kept = kinds.groupBy("rows", "x", "y").agg(F.min_by(F.struct("key", "m", "parts"), "key").alias("k")).select("k.*")
     # A long column is dealt over several tasks by its rows; there are fewer such columns than entries / COLUMN_ROWS.
-    dealt = entries.join(bounded(kept.where("parts > 1").select("key", "parts")), "key", "left").withColumn("part", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    dealt = entries.join(bounded(kinds.where("parts > 1").select("key", "parts")), "key", "left").withColumn("part", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
     profiles = rows.where("shingles IS NOT NULL").select("node", "profile")
     entries = checkpointed(dealt.join(_each_part(kept), ["key", "part"]).where(_near("n", "m", F.col("core"), percent)).drop("m", "core").join(profiles, "node"), few)
 
