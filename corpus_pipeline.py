@@ -57,10 +57,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage keeps is written to the shared folder and read by the next."""
+    """All stages over ``documents``; what a stage keeps is written to the shared folder, read by the next, and deleted once that is written.
+
+    Null texts pass all stages (as empty in the digests), rows without an id are judged by their text alone, repeated rows of one group leave one, and an empty table gives no rows.
+    What the last stage reads stays, since its result is computed when it is asked for.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{checkpoint_dir(spark)}/corpus-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        path = f"{folder}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            done = spark._jvm.org.apache.hadoop.fs.Path(before)
+            done.getFileSystem(spark._jsc.hadoopConfiguration()).delete(done, True)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
