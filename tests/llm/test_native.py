@@ -297,3 +297,20 @@ def test_pipeline(spark):
         seen = after
     ids = {r.doc_id for r in seen.collect()}
     assert {r.doc_id for r in cp.run(spark, SMALL).collect()} == ids
+
+
+@pytest.mark.parametrize("kind", ["empty", "odd"])
+def test_pipeline_on_odd_tables(spark, tmp_path, kind):
+    """Empty tables; and null, empty, long, repeated and clashing rows and columns."""
+    import corpus_pipeline as cp
+
+    folder = str(tmp_path)
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _id int, _hit int, block int, node string, key long"
+    words = " ".join(f"w{i}" for i in range(50))
+    rows = [] if kind == "empty" else [(1, words), (2, words), (2, words), (3, None), (4, ""), (None, "a null id"), (None, None), (5, "0" * 5000 + ".1.1.1"), (6, "x" * 5_000), (7, f"{ITEM} so"), (8, "mail a@b.co")]
+    spark.createDataFrame([(*r, None, "s", 1, 1, 2, 3, "n", 4) for r in rows], schema).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, ITEM)] if rows else [], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.n_tokens > 0) for r in cp.run(spark, folder).collect()))
+    want = [(False, 1, True), (False, 3, False), (False, 4, False), (False, 5, True), (False, 6, True), (False, 8, True), (True, 0, False), (True, 0, True)]
+    assert got == (want if rows else [])
