@@ -280,10 +280,15 @@ def _components(rows: DataFrame, percent: int, few: int) -> DataFrame:
             met = met.where((F.col("other") != F.col("component")) & _near("n", "m", _overlap_bound("profile", "pivot_profile"), percent)).groupBy("node", "pivot").agg(F.count("*").alias("shared"))
             pairs = met.groupBy("node").agg(F.max(F.struct("shared", "pivot")).alias("best")).select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
         else:
-            left = now.join(_each_part(spread).select("key", "part"), ["key", "part"], "left_semi")
-            # Blocks of rows of a column: each part of it meets all of it.
-            right = _each_part(left.drop("part")).select("key", "part", F.col("node").alias("b"), F.col("n").alias("m"), F.col("profile").alias("other_profile"), F.col("component").alias("other"))
-            pairs = left.join(right, ["key", "part"]).where((F.col("component") < F.col("other")) & _near("n", "m", _overlap_bound("profile", "other_profile"), percent)).select(F.col("node").alias("a"), "b").distinct()
+            # Of two rows of different components one at least isn't in the pivot's: those rows meet all rows of the column, in blocks of both.
+            held = now.join(_each_part(spread).select("key", "part", F.col("p.component").alias("base")), ["key", "part"])
+            odd = held.where("component <> base")
+            many = odd.groupBy("key").agg(F.ceil(F.count("*") / COLUMN_ROWS).cast("int").alias("blocks"))
+            left = _each_part(odd.drop("part")).join(bounded(many), "key").withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")).drop("blocks", "base")
+            right = held.join(bounded(many), "key").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            right = right.select("key", "part", "block", F.col("node").alias("b"), F.col("n").alias("m"), F.col("profile").alias("other_profile"), F.col("component").alias("other"), "base")
+            apart = F.when(F.col("other") == F.col("base"), F.lit(True)).otherwise(F.col("component") < F.col("other"))
+            pairs = left.join(right, ["key", "part", "block"]).where(apart & _near("n", "m", _overlap_bound("profile", "other_profile"), percent)).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
         found = _linked(pairs, sets, percent)
         links = checkpointed(found if links is None else links.unionByName(found), few)
         release(rows.sparkSession)
