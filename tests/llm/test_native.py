@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from terrasift.llm import chat, decontam, jaccard, pii, queries, urlfilter
 
 from ..conftest import SMALL
-from .helpers import frame
+from .helpers import corpus, frame
 
 D = datetime.date
 
@@ -267,6 +267,39 @@ def test_registered_sql(spark, name):
     assert Counter(map(tuple, got.select(*columns).collect())) == Counter(want.fetchall())
 
 
+def refilled(seed):
+    """Documents that hold parts of items in other letter case or with other numbers and names, and the items, short and repeated ones too."""
+    rng = random.Random(seed)
+    items = [ITEM, ITEM.replace("37 stones", "61 stones"), "Old Mareth road, near Bela", "nine 12 km", "", None, ITEM]
+    items += [" ".join(rng.choice(["the", "oats", "Bela", "so, Joss", "12 km", "7", "9 kg", "mill"]) for _ in range(rng.randint(1, 40))) for _ in range(8)]
+    docs = []
+    for k in range(60):
+        item = rng.choice([i for i in items if i])
+        words = item.split()[rng.randint(0, 3) :]
+        if k % 3:
+            values = {w: rng.choice(["37", "52", "61", w]) for w in words if w[0].isdigit()} | {w: rng.choice(["Tolben", w]) for w in words if w[0].isupper()}
+            words = [values.get(w, w) if rng.random() < 0.95 else rng.choice(["52", "Joss", w]) for w in words]
+        text = " ".join(["filler"] * rng.randint(0, 9) + words + rng.choice([[], ["end", "Here"], ITEM.split()[5:22]]))
+        docs.append((k % 55, rng.choice([text, text, text.upper(), text.lower(), text.title()])))
+    return docs, list(enumerate(items))
+
+
+@pytest.mark.parametrize("name", ["op2_substring_dedup", "op4_ngram_jaccard", "op9_decontamination"])
+def test_sql_on_odd_texts(spark, tmp_path, name):
+    """Nulls, empty and short texts, copies and repeated ids: the operators and their SQL agree on rows of their own choice too."""
+    docs, items = refilled(1) if name.startswith("op9") else (corpus(11), [])
+    frame(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    want = con.execute(queries.ORACLE_SQL[name])
+    columns = [c[0] for c in want.description]
+    rows = Counter(want.fetchall())
+    assert len(rows) > 20
+    assert Counter(map(tuple, queries.QUERIES[name](spark, str(tmp_path)).select(*columns).collect())) == rows
+
+
 def test_every_query_runs(spark):
     for name, fn in queries.QUERIES.items():
         assert fn(spark, SMALL).count() > 0, name
