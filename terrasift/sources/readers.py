@@ -60,15 +60,16 @@ def _colons(ddl: str) -> str:
 
 
 def geojson_geometry(geom: str = "geom", decimals: int = 6) -> Column:
-    """A geometry column as GeoJSON text with rounded coordinates."""
+    """A geometry column as a GeoJSON multipolygon with rounded coordinates; a polygon becomes its one part."""
     wkt = geo.st_as_wkt(geom)
     kind = F.regexp_extract(wkt, r"^([A-Z]+)", 1)
     number = r"(-?[0-9.]+(?:E-?[0-9]+)?)"
-    pairs = F.regexp_replace(F.regexp_replace(F.regexp_replace(wkt, r"^[A-Z]+ ", ""), rf"{number} {number}", r"[$1,$2]"), r"\(", "[")
+    parts = F.regexp_replace(F.regexp_replace(wkt, r"^POLYGON (.*)$", "MULTIPOLYGON ($1)"), r"^[A-Z]+ ", "")
+    pairs = F.regexp_replace(F.regexp_replace(parts, rf"{number} {number}", r"[$1,$2]"), r"\(", "[")
     nested = F.from_json(F.regexp_replace(pairs, r"\)", "]"), "array<array<array<array<double>>>>")
     deep = lambda f: lambda a: F.transform(a, f)
     rounded = F.transform(nested, deep(deep(deep(lambda x: F.round(x, decimals)))))
-    name = F.when(kind == "MULTIPOLYGON", "MultiPolygon").otherwise(F.raise_error(F.concat(F.lit("not a multipolygon: "), kind)))
+    name = F.when(kind.isin("MULTIPOLYGON", "POLYGON"), "MultiPolygon").otherwise(F.raise_error(F.concat(F.lit("not a multipolygon: "), kind)))
     return F.struct(name.alias("type"), rounded.alias("coordinates"))
 
 
