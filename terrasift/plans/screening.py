@@ -42,12 +42,16 @@ def titles_on(titles: DataFrame, pieces: DataFrame, key: str) -> DataFrame:
 
 def title_metrics(titles: DataFrame, pieces: DataFrame, leases: DataFrame, key: str) -> DataFrame:
     """title_m2, bog_m2, bog_pct, lease_m2, lease_pct, lease_flag of titles with bog; boundary touches drop out."""
-    bog = spatial.footprint(titles, pieces, key).select(key, geo.st_area("geom").alias("bog_m2"))
-    held = checkpointed(titles.join(bog, key).withColumn("title_m2", geo.st_area("geom")))
-    out = spatial.overlap_area(held, leases, key, "lease_m2")
+    areas = spatial.covered(titles, {"bog_m2": spatial.dissolved(pieces, []), "lease_m2": spatial.dissolved(leases, [])}, key).where("bog_m2 > 0")
+    out = titles.join(areas, key).withColumn("title_m2", geo.st_area("geom"))
     return out.withColumns({"bog_pct": percent(F.col("bog_m2"), F.col("title_m2")), "lease_pct": percent(F.col("lease_m2"), F.col("title_m2")), "lease_flag": (F.col("lease_m2") > 0).cast("int")})
 
 
+def bog_area(titles: DataFrame, pieces: DataFrame, key: str) -> DataFrame:
+    """(key, bog_m2) of titles with bog, counted once."""
+    return spatial.covered(titles, {"bog_m2": spatial.dissolved(pieces, [])}, key).where("bog_m2 > 0")
+
+
 def subtract(layer: DataFrame, masks: list[DataFrame], key: str) -> DataFrame:
     """All overlays taken away at once: their parts meet the layer in one join."""
     every = masks[0].select("geom")
@@ -70,16 +74,36 @@ def slope_screen(footprints: DataFrame, low: DataFrame, grid: raster.Grid, key:
 
 def low_slope_overlay(footprints: DataFrame, low: DataFrame, grid: raster.Grid, key: str) -> DataFrame:
     """Footprints less the cells that are steep or unknown, which are merged to rectangles first."""
-    footprints = checkpointed(footprints)
+    return spatial.overlay_difference(checkpointed(footprints), steep_boxes(low, grid), key)
+
+
+def steep_boxes(low: DataFrame, grid: raster.Grid) -> DataFrame:
+    """The cells that are steep or unknown, merged to rectangles."""
     steep = low.where(F.coalesce("value", F.lit(0)) != 1)
-    boxes = raster.rectangles(raster.merge_runs(steep.withColumn("tile", F.floor(F.col("row") / raster.BLOCK)), ["tile"]), grid)
-    return spatial.overlay_difference(footprints, boxes.select("geom"), key)
+    return raster.rectangles(raster.merge_runs(steep.withColumn("tile", F.floor(F.col("row") / raster.BLOCK)), ["tile"]), grid).select("geom")
+
+
+def pieces_without(pieces: DataFrame, masks: DataFrame) -> DataFrame:
+    """(geom): the pieces' area less the masks', as polygons that don't overlap."""
+    land = checkpointed(spatial.dissolved(pieces, []).withColumn("part", F.monotonically_increasing_id()))
+    return checkpointed(spatial.overlay_difference(land, masks, "part").select("geom"))
 
 
 def exclusions(footprints: DataFrame, commonage: DataFrame, forest: DataFrame, key: str) -> DataFrame:
     """Per footprint: bog_m2, common_bog_m2, forest_bog_m2, excluded_bog_m2 (their union, counted once), clear_bog_m2 and flags."""
     out = checkpointed(footprints.withColumn("bog_m2", geo.st_area("geom")))
-    out = spatial.overlap_areas(out, {"common_bog_m2": commonage, "forest_bog_m2": forest}, key, "excluded_bog_m2")
+    return _cleared(spatial.overlap_areas(out, {"common_bog_m2": commonage, "forest_bog_m2": forest}, key, "excluded_bog_m2"))
+
+
+def title_exclusions(titles: DataFrame, pieces: DataFrame, commonage: DataFrame, forest: DataFrame, key: str) -> DataFrame:
+    """``exclusions`` of the titles' footprints on the pieces, without making those: the pieces are cut by commonage and forest before they meet the titles."""
+    bog = spatial.dissolved(pieces, [])
+    both = commonage.select("geom").unionByName(forest.select("geom"))
+    layers = {n: checkpointed(spatial.overlay_intersection(bog, spatial.dissolved(m, []))) for n, m in (("common_bog_m2", commonage), ("forest_bog_m2", forest), ("excluded_bog_m2", both))}
+    return _cleared(spatial.covered(titles, {"bog_m2": bog} | layers, key).where("bog_m2 > 0"))
+
+
+def _cleared(out: DataFrame) -> DataFrame:
     shown = lambda c: (F.col(c) / HECTARE >= SHOWN_HA).cast("int")
     return out.withColumns({"clear_bog_m2": F.greatest(F.lit(0.0), F.col("bog_m2") - F.col("excluded_bog_m2")), "common_flag": shown("common_bog_m2"), "forest_flag": shown("forest_bog_m2")})
 
@@ -144,7 +168,9 @@ def flag_text(flag: str) -> Column:
 
 def screening_counters(titles: DataFrame, pieces: DataFrame, key: str) -> DataFrame:
     """One row: titles that touch a piece, those with a common area (written), and those with a boundary in common only."""
-    met = spatial.pairs(titles.select(key, "geom"), pieces.select("geom")).select(F.col(f"l_{key}").alias(key), geo.st_area(geo.st_common_polygons("l_geom", "r_geom")).alias("m2"))
+    # Pieces without an area aren't in the united ones, but can be touched.
+    land = spatial.without_holes(spatial.dissolved(pieces, []), []).unionByName(pieces.where(geo.st_area("geom") <= 0).select("geom"))
+    met = spatial.common_areas(titles, land, key)
     each = met.groupBy(key).agg(F.max("m2").alias("most"))
     return each.agg(F.count("*").alias("n_touching"), F.count_if(F.col("most") > 0).alias("n_written"), F.count_if(F.col("most") == 0).alias("n_boundary_only"))
 
