@@ -84,26 +84,29 @@ def window(grid: DataFrame, g: Grid, xmin: float, ymin: float, xmax: float, ymax
 def cells_in(zones: DataFrame, grid: DataFrame, g: Grid, key: str, geom: str = "geom") -> DataFrame:
     """(key, row, col, value) of the cells whose centre lies in a zone.
 
-    The cells under a zone's bounds are listed and tested where the zone is; only (key, row, col) travels to meet the grid, cell by cell.
+    The cells under a zone's bounds are listed and tested where the zone is; only (key, row, col) travels to meet the grid, cell by cell. Both sides are
+    sorted for that: a grid is never sent whole through the driver, whatever its size seems to be.
     """
     b = lambda c: F.col(f"b.{c}")
     first = lambda x: F.greatest(F.lit(0), F.ceil(x - 0.5)).cast("int")
     last = lambda x, most: F.least(F.lit(most - 1), F.floor(x - 0.5)).cast("int")
-    z = zones.where(F.col(geom).isNotNull()).select(key, geom, geo.st_bounds(geom).alias("b"))
+    z = zones.where(F.col(geom).isNotNull()).select(key, geom, geo.st_bounds(geom).alias("b"), geo.st_is_rectangle(geom).alias("plain"))
     z = z.withColumns({
         "r0": first((g.y0 - b("ymax")) / g.dy), "r1": last((g.y0 - b("ymin")) / g.dy, g.rows),
         "c0": first((b("xmin") - g.x0) / g.dx), "c1": last((b("xmax") - g.x0) / g.dx, g.cols),
     }).where("r0 <= r1 AND c0 <= c1")
-    under = z.select(key, geom, "c0", "c1", F.explode(F.sequence("r0", "r1")).alias("row")).select(key, geom, "row", F.explode(F.sequence("c0", "c1")).alias("col"))
+    under = z.select(key, geom, "b", "plain", "c0", "c1", F.explode(F.sequence("r0", "r1")).alias("row")).select(key, geom, "b", "plain", "row", F.explode(F.sequence("c0", "c1")).alias("col"))
     x, y = g.centre()
-    inside = under.where(geo.st_contains(geom, geo.st_rect(x, y, x, y))).select(key, "row", "col")
-    return inside.join(grid.select(F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), "value"), ["row", "col"]).select(key, "row", "col", "value")
+    # A boundary isn't inside.
+    within = F.when(F.col("plain"), (x > b("xmin")) & (x < b("xmax")) & (y > b("ymin")) & (y < b("ymax"))).otherwise(geo.st_contains(geom, geo.st_rect(x, y, x, y)))
+    values = grid.select(F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), "value")
+    return under.where(within).select(key, "row", "col").join(values.hint("merge"), ["row", "col"]).select(key, "row", "col", "value")
 
 
 def zonal(zones: DataFrame, grid: DataFrame, g: Grid, key: str, geom: str = "geom") -> DataFrame:
     """Per zone: cells with a value, and the sum of values; 0 and null where no centre lies in it."""
     sums = cells_in(zones, grid, g, key, geom).groupBy(key).agg(F.count("value").alias("cells"), F.sum("value").alias("total"))
-    return zones.select(key).join(sums, key, "left").withColumn("cells", F.coalesce("cells", F.lit(0)))
+    return zones.select(key).join(sums.hint("merge"), key, "left").withColumn("cells", F.coalesce("cells", F.lit(0)))
 
 
 def apportion(area: Column, part: Column, whole: Column) -> tuple[Column, Column]:

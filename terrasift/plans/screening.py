@@ -64,7 +64,7 @@ def slope_screen(footprints: DataFrame, low: DataFrame, grid: raster.Grid, key:
     """bog_m2, cells, low_cells, low_pct, low_m2, over_m2, slope_pass (area of low slope at least ``least``)."""
     footprints = checkpointed(footprints)
     z = raster.zonal(footprints, low, grid, key).withColumnsRenamed({"cells": "sample_cells", "total": "low_cells"})
-    area = footprints.select(key, geo.st_area("geom").alias("bog_m2")).join(z, key)
+    area = footprints.select(key, geo.st_area("geom").alias("bog_m2")).join(z.hint("merge"), key)
     inside, over = raster.apportion(F.col("bog_m2"), F.coalesce("low_cells", F.lit(0)), F.col("sample_cells"))
     return area.select(
         key, "bog_m2", "sample_cells", F.coalesce("low_cells", F.lit(0)).alias("low_cells"), percent(F.coalesce("low_cells", F.lit(0)), F.col("sample_cells")).alias("low_pct"),
