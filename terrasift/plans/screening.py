@@ -98,9 +98,11 @@ def exclusions(footprints: DataFrame, commonage: DataFrame, forest: DataFrame, k
 def title_exclusions(titles: DataFrame, pieces: DataFrame, commonage: DataFrame, forest: DataFrame, key: str) -> DataFrame:
     """``exclusions`` of the titles' footprints on the pieces, without making those: the pieces are cut by commonage and forest before they meet the titles."""
     bog = spatial.dissolved(pieces, [])
-    both = commonage.select("geom").unionByName(forest.select("geom"))
-    layers = {n: checkpointed(spatial.overlay_intersection(bog, spatial.dissolved(m, []))) for n, m in (("common_bog_m2", commonage), ("forest_bog_m2", forest), ("excluded_bog_m2", both))}
-    return _cleared(spatial.covered(titles, {"bog_m2": bog} | layers, key).where("bog_m2 > 0"))
+    masks = spatial.dissolved(spatial.tagged({"common_bog_m2": commonage, "forest_bog_m2": forest}, together="excluded_bog_m2"), ["layer"])
+    cut = spatial.overlay_intersection(bog, masks).select(F.col("r_layer").alias("layer"), "geom")
+    layers = spatial.tagged({"bog_m2": bog}).unionByName(checkpointed(cut))
+    names = ["bog_m2", "common_bog_m2", "forest_bog_m2", "excluded_bog_m2"]
+    return _cleared(spatial.covered_by(titles, layers, names, key).where("bog_m2 > 0"))
 
 
 def _cleared(out: DataFrame) -> DataFrame:
