@@ -21,6 +21,9 @@ from ..functions import geo
 
 # ---- GeoJSON
 
+#: Small files that a task writes or reads.
+FILES = 1000
+
 
 def exactly_one(pattern: str) -> str:
     """The only match of a file pattern; an error for none and for several."""
@@ -45,7 +48,8 @@ def read_geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
     """
     nested = "array<array<array<array<double>>>>"
     schema = f"struct<features:array<struct<properties:struct<{_colons(properties)}>,geometry:struct<type:string,coordinates:string,geometries:array<struct<type:string,coordinates:string>>>>>>"
-    text = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"), F.explode(F.from_json("value", schema).features).alias("f"))
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    text = _in_fewer(files, files.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"), "value")).select("file", F.explode(F.from_json("value", schema).features).alias("f"))
     shape = F.col("f.geometry")
     one = F.when(shape.type == "GeometryCollection", F.filter(shape.geometries, lambda g: g.type.isin("Polygon", "MultiPolygon"))).otherwise(
         F.array(F.struct(shape.type.alias("type"), shape.coordinates.alias("coordinates")))
@@ -55,6 +59,13 @@ def read_geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
     return text.select("file", "f.properties.*", geo.st_from_wkt(wkt).alias("geom"))
 
 
+def _in_fewer(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of the files in as many tasks as their number and bytes call for; by itself, a scan puts a few small files into a task."""
+    n_bytes = int(files._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    n_files, most = len(files._jdf.inputFiles()), files.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(files.sparkSession.conf.get("spark.sql.files.maxPartitionBytes"))
+    return rows.coalesce(max(1, -(-n_files // FILES) + n_bytes // most))
+
+
 def _colons(ddl: str) -> str:
     return ",".join(re.sub(r"^\s*(\w+)\s+", r"\1:", p) for p in ddl.split(","))
 
@@ -75,12 +86,16 @@ def geojson_geometry(geom: str = "geom", decimals: int = 6) -> Column:
 
 def write_geojson(df: DataFrame, path: str, key: str, geom: str = "geom") -> None:
     """One folder per key with one FeatureCollection; keys must be whole numbers."""
-    if df.where(~F.col(key).cast("string").rlike("^[0-9]+$") | F.col(key).isNull()).limit(1).count():
+    wrong = F.col(key).isNull() | ~F.col(key).cast("string").rlike("^[0-9]+$")
+    n_rows, n_wrong = df.agg(F.count("*"), F.count_if(wrong)).first()
+    if n_wrong:
         raise ValueError(f"{key} must be a whole number")
     properties = F.struct(*[c for c in df.columns if c != geom])
     feature = F.struct(F.lit("Feature").alias("type"), properties.alias("properties"), geojson_geometry(geom).alias("geometry"))
     collection = F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.array(feature).alias("features")))
-    df.select(F.col(key), collection.alias("value")).write.partitionBy(key).mode("overwrite").text(path)
+    # Files are dealt over tasks whatever their bytes, and each task moves its own into place.
+    dealt = df.select(F.col(key), collection.alias("value")).repartition(max(1, -(-n_rows // FILES)), key)
+    dealt.write.partitionBy(key).option("mapreduce.fileoutputcommitter.algorithm.version", "2").mode("overwrite").text(path)
 
 
 def export_web(df: DataFrame, path: str, key: str, srs: int, reproject: Callable[[str, int, int], Column], geom: str = "geom") -> None:
