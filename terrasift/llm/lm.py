@@ -15,6 +15,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -188,7 +189,7 @@ def _score(left: pa.Table, right: pa.Table, bits: int) -> pa.Table:
     columns: dict[str, list] = {k: [] for k in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")}
     if left.num_rows:
         block = _Block(left)
-        got = {i: right.filter(pa.compute.equal(right.column("round"), i)) for i in (0, 1, 2)}
+        got = {i: right.filter(pc.equal(right.column("round"), i)) for i in (0, 1, 2)}
         n_train, n_words = (first(got[0], c) for c in ("n", "v"))
         totals = block.totals(answered(got[1]), bits)
         base = (totals + 1) / (n_train + n_words + 1)

@@ -18,6 +18,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,7 +82,7 @@ def mark(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col
 
     def result(left: pa.Table, right: pa.Table) -> pa.Table:
         texts = left.column("text").to_pylist()
-        anchor, whole = (answered(right.filter(pa.compute.equal(right.column("round"), i))) for i in (1, 2))
+        anchor, whole = (answered(right.filter(pc.equal(right.column("round"), i))) for i in (1, 2))
         n_words, n_removed, kept = [], [], []
         if texts:
             words, starts, hashes = _extend(left, anchor, window, bits)

@@ -3,8 +3,11 @@
 import hashlib
 import math
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -248,3 +251,10 @@ def test_window_hashes_depend_on_words_only():
     w = blocks.Words([b"a b c d e", b"x a b c d e y"], lower=False)
     h = w.windows(5)
     assert h[0] == h[6] and len({int(x) for x in h[w.fits(5)]}) == 3
+
+
+@pytest.mark.parametrize("module", ["substring", "lm"])
+def test_modules_import_what_they_use(module):
+    """op2_substring_dedup, op8_lm_scoring: a fresh Python worker failed where nothing else had imported pyarrow.compute."""
+    code = f"import sys, pyarrow; from terrasift.llm import {module}; sys.exit(not hasattr(pyarrow, 'compute'))"
+    assert subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2]).returncode == 0
