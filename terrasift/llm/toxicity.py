@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import mix
-from .common import let_go, map_rows, small
+from .common import let_go, map_rows, small, tidy
 
 MAX_TRAIN = 4000
 THRESHOLD = 0.7
@@ -44,6 +44,8 @@ MIXTURE = 0.003
 #: Excess over a text's mean from which an expression is strong.
 STRONG = 3.0
 CACHE_ENTRIES = 150_000
+#: N-grams that the driver spells or weighs at once.
+PIECE = 50_000
 _OUTER = ".,;:!?|\"'()[]{}<>%&$#*-_/\\`~=+@^"
 _FEATURES = 7
 #: White space can't be inside a word, so it marks the ends.
@@ -147,55 +149,80 @@ def _gram_counts(sample: DataFrame) -> DataFrame:
     return cells.agg(*[F.sum(F.when(F.col("cell") == i, F.col("n")).otherwise(0)).cast("int").alias(f"c{i}") for i in range(2 * FOLDS)])
 
 
-def _shared(grams: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the n-grams, hashes of their contexts, and the continuation estimate of each n-gram's last symbol after its context without the first."""
-    size = np.fromiter(map(len, grams), np.int64, len(grams))
-    code = _codes("".join([g.rjust(ORDER, "\0") for g in grams])).reshape(-1, ORDER)
+def _points(grams: pa.ChunkedArray | list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Letters of the n-grams, one row each with the last ones at its end, and their sizes. The driver never holds all of them as Python objects."""
+    points, size = np.zeros((len(grams), ORDER), np.uint32), np.zeros(len(grams), np.uint8)
+    for i in range(0, len(grams), PIECE):
+        part = grams[i : i + PIECE] if isinstance(grams, list) else grams.slice(i, PIECE).to_pylist()
+        size[i : i + len(part)] = list(map(len, part))
+        spelled = "".join([g.rjust(ORDER, "\0") for g in part])
+        points[i : i + len(part)] = np.frombuffer(spelled.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, ORDER)
+    return points, size
+
+
+def _hashes(points: np.ndarray, rows: np.ndarray, m: int, last: bool = True) -> np.ndarray:
+    """Hashes of the last m symbols of some rows, or of these without the last one."""
+    out = np.zeros(len(rows), np.uint64)
     with np.errstate(over="ignore"):
-        # hashes[m]: the last m symbols; without the last one: before[m], for the m - 1 symbols before it.
-        hashes, before = {}, {}
-        for m in range(1, ORDER + 1):
-            h = np.zeros(len(grams), np.uint64)
-            for j in range(ORDER - m, ORDER - 1):
-                h = h * _STEP + code[:, j]
-            before[m], hashes[m] = h, h * _STEP + code[:, -1]
-    below: tuple[np.ndarray, np.ndarray] | None = None
-    estimates = np.zeros(len(grams))
-    for m in range(1, ORDER):
-        # Different n-grams of m + 1 symbols, by their last m: an n-gram of m symbols continues so many contexts.
-        longer = np.flatnonzero(size > m)
-        _, one = np.unique(hashes[m + 1][longer], return_index=True)
-        rows = longer[one]
-        known, where, n = np.unique(hashes[m][rows], return_index=True, return_counts=True)
-        context, group = np.unique(before[m][rows[where]], return_inverse=True)
-        total, kinds = np.bincount(group, weights=n), np.bincount(group)
-        up = np.full(len(known), 1 / max(len(known), 1)) if below is None else below[1][np.searchsorted(below[0], hashes[m - 1][rows[where]])]
-        p = (n - DISCOUNT + DISCOUNT * kinds[group] * up) / total[group]
-        below = (known, p)
-        own = np.flatnonzero(size == m + 1)
-        estimates[own] = p[np.searchsorted(known, hashes[m][own])]
-    whole = np.zeros(len(grams), np.uint64)
-    context = np.zeros(len(grams), np.uint64)
-    for m in range(2, ORDER + 1):
-        own = size == m
-        whole[own], context[own] = hashes[m][own], before[m][own]
-    return whole, context, estimates
-
-
-def _ratios(shared: tuple[np.ndarray, np.ndarray, np.ndarray], counts: np.ndarray) -> Ratios:
-    """The ratios for counts (ordinary, toxic) of the n-grams."""
-    whole, context, up = shared
-    contexts, group = np.unique(context, return_inverse=True)
-    sums = lambda x: np.stack([np.bincount(group, weights=x[:, i], minlength=len(contexts)) for i in (0, 1)], axis=1)
-    total, kinds = sums(counts), sums(counts > 0)
-    both, all_, of_both = counts.sum(axis=1), total.sum(axis=1), np.bincount(group, weights=counts.sum(axis=1) > 0, minlength=len(contexts))
-    s = (np.maximum(both - DISCOUNT, 0) + DISCOUNT * of_both[group] * up) / np.maximum(all_, 1)[group]
-    p = (np.maximum(counts - DISCOUNT, 0) + (DISCOUNT * kinds[group] + STRENGTH) * s[:, None]) / (total[group] + STRENGTH)
+        for i in range(0, len(rows), PIECE):
+            part, h = points[rows[i : i + PIECE]], out[i : i + PIECE]
+            for j in range(ORDER - m, ORDER if last else ORDER - 1):
+                h *= _STEP
+                h += mix(part[:, j].astype(np.uint64) + np.uint64(1))
+    return out
+
+
+class _Shared:
+    """What both classes share, by n-gram in the order of its hash: hashes, contexts (by number, in the order of theirs), and the continuation
+    estimate of each n-gram's last symbol after its context without the first. ``order`` leads there from the n-grams as given.
+    """
+
+    def __init__(self, points: np.ndarray, size: np.ndarray) -> None:
+        below: tuple[np.ndarray, np.ndarray] | None = None
+        up = np.zeros(len(points))
+        for m in range(1, ORDER):
+            # Different n-grams of m + 1 symbols, by their last m: an n-gram of m symbols continues so many contexts.
+            longer = np.flatnonzero(size > m)
+            rows = longer[np.unique(_hashes(points, longer, m + 1), return_index=True)[1]]
+            known, where, n = np.unique(_hashes(points, rows, m), return_index=True, return_counts=True)
+            rows = rows[where]
+            group = np.unique(_hashes(points, rows, m, last=False), return_inverse=True)[1]
+            total, kinds = np.bincount(group, weights=n), np.bincount(group)
+            backed = np.full(len(known), 1 / max(len(known), 1)) if below is None else below[1][np.searchsorted(below[0], _hashes(points, rows, m - 1))]
+            p = (n - DISCOUNT + DISCOUNT * kinds[group] * backed) / total[group]
+            below = (known, p)
+            own = np.flatnonzero(size == m + 1)
+            up[own] = p[np.searchsorted(known, _hashes(points, own, m))]
+        whole, context = np.zeros(len(points), np.uint64), np.zeros(len(points), np.uint64)
+        for m in range(2, ORDER + 1):
+            own = np.flatnonzero(size == m)
+            whole[own], context[own] = _hashes(points, own, m), _hashes(points, own, m, last=False)
+        self.order = np.argsort(whole)
+        self.whole, self.up = whole[self.order], up[self.order]
+        self.contexts, group = np.unique(context[self.order], return_inverse=True)
+        self.group = group.astype(np.int32)
+
+
+def _shared(grams: pa.ChunkedArray | list[str]) -> _Shared:
+    return _Shared(*_points(grams))
+
+
+def _ratios(shared: _Shared, counts: np.ndarray) -> Ratios:
+    """The ratios for counts (ordinary, toxic) of the n-grams as given; hashes and contexts are one array for all ratios."""
+    counts = counts[shared.order]
+    sums = lambda x: np.bincount(shared.group, weights=x, minlength=len(shared.contexts))
+    total, kinds = (np.stack([sums(f(counts[:, i])) for i in (0, 1)], axis=1) for f in (lambda x: x, lambda x: x > 0))
+    all_, of_both = total.sum(axis=1), sums(counts.any(axis=1))
     fall = np.log((DISCOUNT * kinds + STRENGTH) / (total + STRENGTH))
     fall = (fall[:, 1] - fall[:, 0]).astype(np.float32)
-    step = np.where(both > 0, np.log(np.maximum(p[:, 1], 1e-300) / np.maximum(p[:, 0], 1e-300)), fall[group]).astype(np.float32)
-    order = np.argsort(whole)
-    return Ratios(whole[order], step[order], contexts, fall)
+    step = np.zeros(len(counts), np.float32)
+    for i in range(0, len(counts), PIECE):
+        n, group, up = counts[i : i + PIECE], shared.group[i : i + PIECE], shared.up[i : i + PIECE]
+        both = n.sum(axis=1)
+        s = (np.maximum(both - DISCOUNT, 0) + DISCOUNT * of_both[group] * up) / np.maximum(all_, 1)[group]
+        p = (np.maximum(n - DISCOUNT, 0) + (DISCOUNT * kinds[group] + STRENGTH) * s[:, None]) / (total[group] + STRENGTH)
+        step[i : i + PIECE] = np.where(both > 0, np.log(np.maximum(p[:, 1], 1e-300) / np.maximum(p[:, 0], 1e-300)), fall[group])
+    return Ratios(shared.whole, step, shared.contexts, fall)
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -234,18 +261,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "_id")
 
     table = _gram_counts(sample).toArrow()
-    grams = table.column("gram").to_pylist()
-    cells = np.stack([table.column(f"c{i}").to_numpy() for i in range(2 * FOLDS)], axis=1).reshape(-1, FOLDS, 2) if grams else np.zeros((0, FOLDS, 2), np.int64)
-    del table
-    sums = cells.sum(axis=1)
-    if not grams or not sums.any(axis=0).all():
+    cells = np.zeros((table.num_rows, 2 * FOLDS), np.int32)
+    for i in range(2 * FOLDS):
+        cells[:, i] = table.column(f"c{i}").to_numpy()
+    cells = cells.reshape(-1, FOLDS, 2)
+    if not cells.any(axis=(0, 1)).all():
         share = ids.agg(F.avg("toxic")).first()[0] or 0.0
         none = np.zeros(0, np.uint64)
         constant = math.log(max(share, 1e-9) / max(1 - share, 1e-9)) if share else -30.0
         return Model(Ratios(none, none.astype(np.float32), none, none.astype(np.float32)), np.array([0.0] * _FEATURES + [constant]))
-    shared = _shared(grams)
-    del grams
+    shared = _shared(table.column("gram"))
+    del table
+    sums = cells.sum(axis=1, dtype=np.int32)
     without = [_ratios(shared, sums - cells[:, f]) for f in range(FOLDS)]
+    del cells
+    tidy()
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
@@ -259,7 +289,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), pa.array(marks, pa.int32())], names=["x", "y"])
 
     fit = sample.mapInArrow(features, "x array<double>, y int").toArrow()
-    return Model(_ratios(shared, sums), _fit(np.array(fit.column("x").to_pylist()), fit.column("y").to_numpy().astype(float)))
+    del without
+    model = Model(_ratios(shared, sums), _fit(np.array(fit.column("x").to_pylist()), fit.column("y").to_numpy().astype(float)))
+    del shared, sums
+    tidy()
+    return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

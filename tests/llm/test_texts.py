@@ -6,6 +6,7 @@ import math
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -333,3 +334,19 @@ def test_toxicity_edges(spark):
     assert long[0] != long[1]
     texts = ["blorky " * 100_000, "a" * 300_000, "\ud83d\ude42 \x00 ... !!!", "..."]
     assert all(0 <= r.score <= 1 for r in toxicity.score(frame(spark, list(enumerate(texts))), model).collect())
+
+
+def test_toxicity_tables_of_the_driver_are_small():
+    """pipeline: the driver held every n-gram as a string and 16 hashes of each at once, and each fold had hashes of its own."""
+    rng = np.random.default_rng(5)
+    grams = sorted({"\t" + "".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(1, 8, 150_000)})
+    counts = rng.integers(0, 3, (len(grams), 2)).astype(np.int32)
+    tracemalloc.start()
+    try:
+        shared = toxicity._shared(grams)
+        folds = [toxicity._ratios(shared, counts) for _ in range(toxicity.FOLDS)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 250 * len(grams)
+    assert all(f.grams is folds[0].grams and f.contexts is folds[0].contexts for f in folds)
