@@ -161,23 +161,29 @@ def _points(data: bytes) -> list[tuple[int, int, int, str]]:
 
 def transform_batch(values: list[bytes | None], source: int, target: int) -> list[bytes | None]:
     """WKB values with their coordinates in another system; Z and M stay as they are. All coordinates go through the series at once."""
-    places, parts = [], []
-    for i, data in enumerate(values):
-        for at, n, size, order in _points(data) if data is not None else ():
-            if n:
-                places.append((i, at, n, size, order))
-                parts.append(np.frombuffer(data, order + "f8", n * size, at).reshape(n, size)[:, :2].astype(float))
-    if not parts:
-        return values
-    flat = np.concatenate(parts)
-    x, y = transform(flat[:, 0], flat[:, 1], source, target)
-    out, start = [None if v is None else bytearray(v) for v in values], 0
-    for i, at, n, size, order in places:
-        c = np.frombuffer(values[i], order + "f8", n * size, at).reshape(n, size).astype(order + "f8")
-        c[:, 0], c[:, 1] = x[start : start + n], y[start : start + n]
-        out[i][at : at + 8 * n * size] = c.tobytes()
-        start += n
-    return [None if v is None else bytes(v) for v in out]
+    # Arrays of all values lie in one buffer, so those of one kind are moved together.
+    buffer = np.frombuffer(bytearray(b"".join(v for v in values if v is not None)), np.uint8)
+    found: dict[tuple[int, str], list[tuple[int, int]]] = {}
+    begin = 0
+    for data in values:
+        if data is not None:
+            for at, n, size, order in _points(data):
+                found.setdefault((size, order), []).append((begin + at, n))
+            begin += len(data)
+    for (size, order), arrays in found.items():
+        at, n = np.array(arrays, np.int64).T
+        first = np.repeat(at - 8 * size * (np.cumsum(n) - n), n) + 8 * size * np.arange(n.sum())
+        if not len(first):
+            continue
+        where = first[:, None] + np.arange(16)
+        c = buffer[where].view(order + "f8").astype(float)
+        c[:, 0], c[:, 1] = transform(c[:, 0], c[:, 1], source, target)
+        buffer[where] = c.astype(order + "f8").view(np.uint8)
+    out, whole, begin = [], buffer.tobytes(), 0
+    for data in values:
+        out.append(None if data is None else whole[begin : begin + len(data)])
+        begin += len(data or b"")
+    return out
 
 
 def transform_wkb(data: bytes, source: int, target: int) -> bytes:

@@ -100,6 +100,19 @@ def area_without(titles: DataFrame, pieces: DataFrame, masks: DataFrame, key: st
     return area.unionByName(general(titles.join(l.where("NOT plain").select(key), key, "left_semi"))) if odd[0] else area
 
 
+def footprints_without(titles: DataFrame, pieces: DataFrame, masks: DataFrame, key: str) -> DataFrame:
+    """(key, geom), at rest, of titles with any: the pieces less the masks, inside the title. As in ``area_without``, rectangles are cut without an overlay."""
+    l, r, m = boxes.laid(titles, key), boxes.laid(pieces), boxes.laid(masks)
+    odd, size = boxes.surveyed([l, r, m])
+    general = lambda rows: spatial.union_at_rest(spatial.common_parts(rows, pieces_without(pieces, masks), key), [key])
+    if odd[1] or odd[2]:
+        return checkpointed(general(titles))
+    fits = F.col("plain") & (F.col("x1") - F.col("x0") <= size) & (F.col("y1") - F.col("y0") <= size)
+    cut = checkpointed(boxes.footprints(l.where(fits), r, m, key, size))
+    rest = l.where(~fits)
+    return cut.unionByName(checkpointed(general(titles.join(rest.select(key), key, "left_semi")))) if rest.limit(1).count() else cut
+
+
 def exclusions(footprints: DataFrame, commonage: DataFrame, forest: DataFrame, key: str) -> DataFrame:
     """Per footprint: bog_m2, common_bog_m2, forest_bog_m2, excluded_bog_m2 (their union, counted once), clear_bog_m2 and flags."""
     out = checkpointed(footprints.withColumn("bog_m2", geo.st_area("geom")))

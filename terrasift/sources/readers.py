@@ -11,6 +11,7 @@ import struct
 import zipfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +85,60 @@ def geojson_geometry(geom: str = "geom", decimals: int = 6) -> Column:
     return F.struct(name.alias("type"), rounded.alias("coordinates"))
 
 
+def _polygon_arrays(data: bytes) -> list[list[tuple[int, int, int, str]]]:
+    """Per polygon of a WKB polygon or multipolygon, its rings: (offset, points, ordinates, byte order)."""
+
+    def polygon(at: int) -> tuple[list[tuple[int, int, int, str]], int]:
+        order, base, size, at = head(at)
+        if base != 3:
+            raise ValueError(f"not a multipolygon: WKB type {base}")
+        (n,) = struct.unpack_from(order + "I", data, at)
+        at, rings = at + 4, []
+        for _ in range(n):
+            (k,) = struct.unpack_from(order + "I", data, at)
+            rings.append((at + 4, k, size, order))
+            at += 4 + 8 * size * k
+        return rings, at
+
+    def head(at: int) -> tuple[str, int, int, int]:
+        order = "<" if data[at] else ">"
+        (kind,) = struct.unpack_from(order + "I", data, at + 1)
+        base = kind & 0x0FFFFFFF
+        size = 2 + bool(kind & 0x80000000) + bool(kind & 0x40000000) + (0, 1, 1, 2)[base // 1000]
+        return order, base % 1000, size, at + 5 + 4 * bool(kind & 0x20000000)
+
+    order, base, _, at = head(0)
+    if base != 6:
+        rings, _ = polygon(0)
+        return [rings] if rings else []
+    (n,) = struct.unpack_from(order + "I", data, at)
+    at, out = at + 4, []
+    for _ in range(n):
+        rings, at = polygon(at)
+        out.append(rings)
+    return out
+
+
+def geojson_texts(values: list[bytes | None], decimals: int = 6) -> list[str]:
+    """GeoJSON multipolygons of WKB values, as ``geojson_geometry`` has them."""
+    if any(v is None for v in values):
+        raise ValueError("not a multipolygon: null")
+    shapes = [_polygon_arrays(v) for v in values]
+    rings = [np.frombuffer(v, order + "f8", n * size, at).reshape(n, size)[:, :2] for v, shape in zip(values, shapes, strict=True) for polygon in shape for at, n, size, order in polygon]
+    points = np.round(np.concatenate(rings), decimals).tolist() if rings else []
+    out, at = [], 0
+    for shape in shapes:
+        polygons = []
+        for polygon in shape:
+            texts = []
+            for _, n, _, _ in polygon:
+                texts.append(str(points[at : at + n]).replace(" ", ""))
+                at += n
+            polygons.append(f"[{','.join(texts)}]")
+        out.append(f'{{"type":"MultiPolygon","coordinates":[{",".join(polygons)}]}}')
+    return out
+
+
 def write_geojson(df: DataFrame, path: str, key: str, geom: str = "geom") -> None:
     """One folder per key with one FeatureCollection; keys must be whole numbers."""
     wrong = F.col(key).isNull() | ~F.col(key).cast("string").rlike("^[0-9]+$")
@@ -103,15 +158,15 @@ def export_web(df: DataFrame, path: str, key: str, srs: int, reproject: Callable
     if df.where(F.col(key).isNull() | ~F.col(key).cast("string").rlike("^[0-9]+$")).limit(1).count():
         raise ValueError(f"{key} must be a whole number")
     placed = df.withColumn(geom, reproject(geom, srs, 4326))
-    properties = F.struct(*[c for c in df.columns if c != geom])
-    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), properties.alias("properties"), geojson_geometry(geom).alias("geometry")))
-    lines = placed.select(feature.alias("value"))
+    properties = F.to_json(F.struct(*[c for c in df.columns if c != geom]))
+    lines = placed.select(properties.alias("properties"), geom)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The features of a partition between the two ends of a collection, a line each."""
         head = '{"type":"FeatureCollection","features":['
         for batch in batches:
-            values = batch.column(0).to_pylist()
+            shapes = geojson_texts(batch.column(1).to_pylist())
+            values = [f'{{"type":"Feature","properties":{p},"geometry":{g}}}' for p, g in zip(batch.column(0).to_pylist(), shapes, strict=True)]
             if values:
                 yield pa.RecordBatch.from_pydict({"value": [head + values[0], *["," + v for v in values[1:]]]})
                 head = ","
