@@ -194,11 +194,21 @@ def flag_text(flag: str) -> Column:
 
 def screening_counters(titles: DataFrame, pieces: DataFrame, key: str) -> DataFrame:
     """One row: titles that touch a piece, those with a common area (written), and those with a boundary in common only."""
+    l, r = boxes.laid(titles, key), boxes.laid(pieces)
+    odd, size = boxes.surveyed([l, r])
+    if odd[1]:
+        each = _touching(titles, pieces, key)
+    else:
+        each = boxes.met(l, r, key, size)
+        each = each.unionByName(_touching(titles.join(l.where("NOT plain").select(key), key, "left_semi"), pieces, key)) if odd[0] else each
+    return each.agg(F.count("*").alias("n_touching"), F.count_if("inside").alias("n_written"), F.count_if(~F.col("inside")).alias("n_boundary_only"))
+
+
+def _touching(titles: DataFrame, pieces: DataFrame, key: str) -> DataFrame:
+    """(key, inside) of titles that touch a piece: whether they have an area in common with one."""
     # Pieces without an area aren't in the united ones, but can be touched.
     land = spatial.without_holes(spatial.dissolved(pieces, []), []).unionByName(pieces.where(geo.st_area("geom") <= 0).select("geom"))
-    met = spatial.common_areas(titles, land, key)
-    each = met.groupBy(key).agg(F.max("m2").alias("most"))
-    return each.agg(F.count("*").alias("n_touching"), F.count_if(F.col("most") > 0).alias("n_written"), F.count_if(F.col("most") == 0).alias("n_boundary_only"))
+    return spatial.common_areas(titles, land, key).groupBy(key).agg((F.max("m2") > 0).alias("inside"))
 
 
 def duration_text(seconds: Column) -> Column:
