@@ -100,6 +100,22 @@ def area_without(titles: DataFrame, pieces: DataFrame, masks: DataFrame, key: st
     return area.unionByName(general(titles.join(l.where("NOT plain").select(key), key, "left_semi"))) if odd[0] else area
 
 
+def common_areas(titles: DataFrame, pieces: DataFrame, key: str, piece_key: str) -> DataFrame:
+    """(l_key, r_key, m2) of each title and piece with a common area; only pairs with another shape than a rectangle are cut."""
+    l, r = boxes.laid(titles, key), boxes.laid(pieces, piece_key)
+    odd, size = boxes.surveyed([l, r])
+    out = boxes.common_pairs(l, r.where("plain"), key, piece_key, size)
+    names = [f"l_{key}", f"r_{piece_key}"]
+    cut = lambda a, b: spatial.overlay_intersection(a, b).select(*names, geo.st_area("geom").alias("m2"))
+    is_odd = lambda rows, laid, k, how: rows.join(laid.where("NOT plain").select(k), k, how)
+    titles, pieces = titles.select(key, "geom"), pieces.select(piece_key, "geom")
+    if odd[0]:
+        out = out.unionByName(cut(is_odd(titles, l, key, "left_semi"), pieces))
+    if odd[1]:
+        out = out.unionByName(cut(is_odd(titles, l, key, "left_anti"), is_odd(pieces, r, piece_key, "left_semi")))
+    return out
+
+
 def footprints_without(titles: DataFrame, pieces: DataFrame, masks: DataFrame, key: str) -> DataFrame:
     """(key, geom), at rest, of titles with any: the pieces less the masks, inside the title. As in ``area_without``, rectangles are cut without an overlay."""
     l, r, m = boxes.laid(titles, key), boxes.laid(pieces), boxes.laid(masks)
