@@ -44,12 +44,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return _own[spark]
 
 
-def checkpointed(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """The same rows read from the shared folder, without their lineage, in at most so many partitions."""
+def checkpointed(df: DataFrame, partitions: int | None = None, sized: bool = True) -> DataFrame:
+    """The same rows read from the shared folder, without their lineage, in at most so many partitions.
+
+    Spark hands its guess of their size on. It starts from the bytes of the input files, counts an exploded array as one row and is multiplied by each join, so it can be far too
+    small (such rows are sent through the driver to join them) or grow without bound. Not ``sized``: the size is unknown, and joins go by what is shuffled.
+    """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(checkpoint_dir(df.sparkSession))
-    return (df.coalesce(partitions) if partitions else df).checkpoint(eager=True)
+    at_rest = (df.coalesce(partitions) if partitions else df).checkpoint(eager=True)
+    if sized:
+        return at_rest
+    spark = df.sparkSession
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(at_rest._jdf.queryExecution().toRdd(), at_rest._jdf.schema(), False), spark)
 
 
 def release(spark: SparkSession) -> None:
